@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphshed.llm import decontaminate, packing
+from graphshed.llm import decontaminate, packing, pii, secrets
 from graphshed.llm.common import table
 
 
@@ -20,10 +20,18 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path(), capacity=1024, end_id=2)
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.detect(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.drop("items")
 
 
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.detect(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_best_fit_packing, op5_benchmark_decontamination)}
+    return {f.__name__: f for f in (op2_best_fit_packing, op4_pii, op5_benchmark_decontamination, op7_secret_scans)}
