@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphshed.llm import decontaminate, packing, pii, secrets
+from graphshed.llm import decontaminate, merkle, packing, pii, secrets, warc
 from graphshed.llm.common import table
 
 
@@ -33,5 +33,13 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.detect(table(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), least_bytes=0)
+
+
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_best_fit_packing, op4_pii, op5_benchmark_decontamination, op7_secret_scans)}
+    return {f.__name__: f for f in (op2_best_fit_packing, op4_pii, op5_benchmark_decontamination, op7_secret_scans, op8_warc, op10_document_fingerprints)}
