@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphshed.llm import decontaminate, merkle, packing, pii, secrets, warc
+from graphshed.llm import decontaminate, merkle, packing, pii, secrets, toxicity, warc
 from graphshed.llm.common import table
 
 
@@ -37,9 +37,14 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), least_bytes=0)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_best_fit_packing, op4_pii, op5_benchmark_decontamination, op7_secret_scans, op8_warc, op10_document_fingerprints)}
+    return {f.__name__: f for f in (op2_best_fit_packing, op4_pii, op5_benchmark_decontamination, op7_secret_scans, op8_warc, op9_toxicity, op10_document_fingerprints)}
