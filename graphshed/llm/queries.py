@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphshed.llm import decontaminate, merkle, packing, pii, secrets, toxicity, warc
+from graphshed.llm import decontaminate, merkle, packing, pii, secrets, toxicity, urls, warc
 from graphshed.llm.common import table
 
 
@@ -29,6 +29,14 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.drop("items")
 
 
+#: The list rules.
+URL_RULES = urls.rules(("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES)
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.detect(table(spark, sf_dir, "documents", "doc_id", "text")))
 
@@ -47,4 +55,4 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_best_fit_packing, op4_pii, op5_benchmark_decontamination, op7_secret_scans, op8_warc, op9_toxicity, op10_document_fingerprints)}
+    return {f.__name__: f for f in (op2_best_fit_packing, op4_pii, op5_benchmark_decontamination, op6_url_filters, op7_secret_scans, op8_warc, op9_toxicity, op10_document_fingerprints)}
