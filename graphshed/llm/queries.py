@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphshed.llm import decontaminate, merkle, packing, pii, secrets, toxicity, urls, warc
+from graphshed.llm import decontaminate, merkle, packing, pii, resample, secrets, toxicity, urls, warc
 from graphshed.llm.common import table
 
 
@@ -16,6 +16,10 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.sample(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path(), capacity=1024, end_id=2)
 
@@ -55,4 +59,4 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_best_fit_packing, op4_pii, op5_benchmark_decontamination, op6_url_filters, op7_secret_scans, op8_warc, op9_toxicity, op10_document_fingerprints)}
+    return {f.__name__: f for f in (op1_importance_resampling, op2_best_fit_packing, op4_pii, op5_benchmark_decontamination, op6_url_filters, op7_secret_scans, op8_warc, op9_toxicity, op10_document_fingerprints)}
