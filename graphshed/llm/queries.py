@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphshed.llm import decontaminate, merkle, packing, pii, resample, secrets, toxicity, urls, warc
+from graphshed.llm import decontaminate, merkle, packing, pii, resample, secrets, setjoin, toxicity, urls, warc
 from graphshed.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path(), capacity=1024, end_id=2)
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.join(table(spark, sf_dir, "documents", "doc_id", "text"), words=3, percent=90)
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect(table(spark, sf_dir, "documents", "doc_id", "text")))
 
@@ -59,4 +63,4 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_importance_resampling, op2_best_fit_packing, op4_pii, op5_benchmark_decontamination, op6_url_filters, op7_secret_scans, op8_warc, op9_toxicity, op10_document_fingerprints)}
+    return {f.__name__: f for f in (op1_importance_resampling, op2_best_fit_packing, op3_ngram_jaccard_join, op4_pii, op5_benchmark_decontamination, op6_url_filters, op7_secret_scans, op8_warc, op9_toxicity, op10_document_fingerprints)}
