@@ -439,3 +439,35 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "doc_
     least = cut(rows.where("root is not null").groupBy("root").agg(F.min("id").alias("least")))
     out = rows.join(least, "root", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"))
     return out
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents with all their columns, of each component only the one with the smallest id.
+
+    Most rows pass a Bloom filter of the ids that go, without a shuffle; the
+    others, and rows of ids that occur more than once, are decided by a join.
+    Rows without id stay if no row of their component has one; of rows with one
+    id and text one stays.
+    """
+    spark = docs.sparkSession
+    found = cut(join(docs, words, percent, id_col, text_col).select(F.col(id_col).alias("id"), "component_id"))
+    gone = found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select("id")
+    several = found.groupBy("id").count().where("count > 1").select("id")
+    unsure = spark.sparkContext.broadcast(bloom.build(gone.unionAll(several), "id"))
+    columns = docs.columns
+    probed = docs.withColumn("_probes", bloom.probes(id_col))
+
+    def rows(which: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                mask = bloom.passing(unsure.value, batch.column(len(columns))) == which
+                yield batch.select(range(len(columns))).filter(pa.array(mask))
+
+        return probed.mapInArrow(run, docs.schema)
+
+    keys = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"))
+    kept = found.where(F.col("id").eqNullSafe(F.col("component_id")) | (F.col("id").isNull() & F.col("component_id").isNull())).select("id").distinct()
+    doubtful = rows(True)
+    joined = doubtful.join(cut(kept), doubtful[id_col].eqNullSafe(F.col("id")), "left_semi")
+    one = joined.withColumn("_key", keys).dropDuplicates(["_key"]).drop("_key")
+    return rows(False).unionByName(one.select(*columns))
