@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +15,9 @@ from graphshed.operators import bbox, graph, polyfilter
 from graphshed.operators import store as ops
 from graphshed.plans import testmap as T
 from graphshed.plans.lineage import cut
+from graphshed.sinks import files
 from graphshed.sources import poly, relation_json, replication, xml
+from graphshed.streaming import replicate
 
 def no_meta() -> dict:
     """Metadata columns without values."""
@@ -480,3 +484,40 @@ def split_hierarchy(t):
 def split_summary(t):
     changes, s = _annotated(t)
     return polyfilter.hierarchy(changes, s, T.tree(t.spark), _rings(t)).groupBy("poly", "elem_type", "action").agg(F.count(F.lit(1)).alias("n"))
+
+
+# Streaming
+
+
+def _numbered(t: T.Tables) -> tuple[str, replicate.Snapshots]:
+    """The change file as four numbered ones in a folder with a state, and a fresh store beside it."""
+    top = tempfile.mkdtemp(prefix="graphshed-")
+    rows = cut(T.changes(t).withColumns({**no_meta(), "tags": F.lit(None).cast(TAGS)}))
+    half = t["events"].count() // 2
+    ends = [half, T.WAY_POS, T.LATE_POS, 1 << 62]
+    for n, (low, high) in enumerate(zip([-1, *ends], ends), 1):
+        files.write_xml(rows.where((F.col("pos") >= low) & (F.col("pos") < high)), f"{top}/diffs/{replication.path_of(n)}.osc.gz")
+        files.publish_state(f"{top}/diffs", n, f"{replication.path_of(n)}.state.txt")
+    snapshots = replicate.Snapshots(t.spark, os.path.join(top, "store"))
+    os.makedirs(snapshots.folder)
+    snapshots.init(T.store(t))
+    return top, snapshots
+
+
+@query
+def stream_apply(t):
+    """The store after a stream over four numbered change files."""
+    top, snapshots = _numbered(t)
+    replicate.follow(snapshots, f"{top}/diffs", f"{top}/checkpoint")
+    return ops.counts(snapshots.read())
+
+
+@query
+def stream_replay(t):
+    """Nodes after following up to a sequence, then the rest, then the last sequence once more as after a crash."""
+    top, snapshots = _numbered(t)
+    replicate.follow(snapshots, f"{top}/diffs", f"{top}/checkpoint", most=2)
+    replicate.follow(snapshots, f"{top}/diffs", f"{top}/checkpoint")
+    again = xml.read(t.spark, f"{top}/diffs/{replication.path_of(4)}.osc.gz")
+    replicate.step(snapshots, again, 4)
+    return snapshots.read().nodes.select("id", "lat_e7", "lon_e7")

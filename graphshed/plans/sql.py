@@ -290,3 +290,4 @@ SQL = {
     "split_hierarchy": _recursive("out_a out_b", _HIERARCHY),
     "split_summary": _recursive("out_a out_b", f"SELECT poly, elem_type, action, count(*) AS n FROM ({_HIERARCHY}) x GROUP BY poly, elem_type, action"),
 }
+SQL["stream_apply"], SQL["stream_replay"] = SQL["apply_diff"], SQL["apply_nodes"]
