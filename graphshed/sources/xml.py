@@ -20,7 +20,8 @@ from pyspark.sql.types import StructType
 
 from graphshed.model import ELEMENT
 
-CHUNK = 1 << 20
+#: Small, as an element's context is copied from the chunk.
+CHUNK = 1 << 16
 _INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 
 
@@ -41,7 +42,7 @@ class Parser:
         self.expat = xml.parsers.expat.ParserCreate()
         self.expat.buffer_text = True
         self.expat.StartElementHandler, self.expat.EndElementHandler = self._start, self._end
-        # Between the start and end of an element without content expat sees nothing, not even text.
+        # Told of text and comments: an element is fresh until something follows its start.
         self.expat.DefaultHandler = self._other
 
     def _other(self, data: str) -> None:
@@ -64,7 +65,6 @@ class Parser:
                 "nodes": [] if name == "way" else None, "members": [] if name == "relation" else None, "tags": None if name == "node" else [],
                 "version": number("version"), "timestamp": a.get("timestamp"), "uid": number("uid"), "user": a.get("user"), "changeset": number("changeset"), "bbox": None,
             }
-            self.began = self.expat.CurrentByteIndex
             self.fresh = True
         elif name == "nd":
             self.open["nodes"].append(int(a.get("ref", 0)))
@@ -79,9 +79,8 @@ class Parser:
 
     def _end(self, name: str) -> None:
         if name in ("node", "way", "relation"):
-            # An element closed in its own tag ends where it began, for expat.
-            alone = self.fresh and self.expat.CurrentByteIndex == self.began
-            if name == "node" and not alone and self.open["tags"] is None:
+            # A node closed in its own tag has null tags, one with an end tag an empty list.
+            if name == "node" and self.open["tags"] is None and (not self.fresh or (self.expat.GetInputContext() or b"").startswith(b"</node")):
                 self.open["tags"] = []
             self.rows.append(tuple(self.open.values()))
             self.open = None
