@@ -40,8 +40,8 @@ from graphshed.llm.hashing import LOWER, WordHashes, shingles
 
 #: Buckets in which shingles are counted, to put frequent ones last in every set.
 COUNTERS = 1 << 18
-#: Bits of a parity sketch.
-SKETCH_BITS = 512
+#: Bits of a parity sketch: a power of two, at least CELLS for each token that linked sets may differ in, within limits.
+CELLS, SKETCH_LEAST, SKETCH_MOST = 8, 256, 8192
 #: Lists longer than this are dealt to several tasks, in pairs of parts.
 LIST_MOST = 3000
 #: Sizes of index bands, each this many times as large as the last at most (a power of the least size ratio).
@@ -74,8 +74,8 @@ class Measure:
         """Smallest intersection of such sets."""
         return -(-both * self.percent // (100 + self.percent))
 
-    def links(self, common: int, n: int, m: int) -> bool:
-        return 100 * common >= self.percent * (n + m - common) and common > 0
+    def links(self, both: int, n: int, m: int) -> bool:
+        return 100 * both >= self.percent * (n + m - both) and both > 0
 
 
 class Sets:
@@ -94,12 +94,23 @@ def class_of(tokens: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes(), 5)).astype(np.int64))
 
 
-def sketch_of(tokens: np.ndarray) -> bytes:
-    """Parities of the set's tokens in SKETCH_BITS cells."""
-    cells = np.bincount((tokens >> np.uint64(20)) % np.uint64(SKETCH_BITS), minlength=SKETCH_BITS) & 1
+def sketch_of(tokens: np.ndarray, measure: Measure) -> bytes:
+    """Parities of the set's tokens in cells, about as many as the difference of linked sets needs."""
+    wanted = CELLS * measure.difference(2 * len(tokens))
+    bits = min(SKETCH_MOST, max(SKETCH_LEAST, 1 << (wanted - 1).bit_length()))
+    cells = np.bincount((tokens >> np.uint64(20)) % np.uint64(bits), minlength=bits) & 1
     return np.packbits(cells.astype(np.uint8)).tobytes()
 
 
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of 64-bit words, all folded to the shortest one's length: a parity of fewer cells is that of the cells that fall together."""
+    width = min(map(len, sketches))
+    rows = np.empty((len(sketches), width // 8), np.uint64)
+    for i, sketch in enumerate(sketches):
+        rows[i] = np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, width // 8), axis=0)
+    return rows
+
+
 def frequencies(slim: DataFrame, measure: Measure) -> np.ndarray:
     """For each counter a level: 0 for all but the frequent, growing with the logarithm of the count over the mean."""
 
@@ -142,7 +153,7 @@ def index(slim: DataFrame, measure: Measure, levels: np.ndarray) -> DataFrame:
                     # A bijection of the token, so that the order within a level isn't that of the counters.
                     order = np.lexsort((tokens * np.uint64(0x9E3779B97F4A7C15), own))[:p]
                     prefix = tokens[order].view(np.int64)
-                rows.append((n, class_of(tokens), prefix, sketch_of(tokens) if p else None))
+                rows.append((n, class_of(tokens), prefix, sketch_of(tokens, measure) if p else None))
             n, number, prefix, sketch = zip(*rows) if rows else ([],) * 4
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(number, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
@@ -282,9 +293,15 @@ class List:
         return pairs
 
     def pairs(self, again: bool) -> np.ndarray:
-        """Pairs of classes to verify, the smaller number first. After the first round also the TRIES nearest of each entry."""
+        """Pairs of classes to verify, the smaller number first. After the first round also the TRIES nearest of each entry.
+
+        In the first round every entry that has a near one is also given out
+        with itself: whatever is tried later is among these.
+        """
         found = self.forest()
-        if again and found:
+        if not again:
+            found += [(i, i) for i in range(len(self.n)) if (self.near(i)[2] >= 0).any()]
+        elif found:
             for i in range(len(self.n)):
                 a, _, distance = self.near(i)
                 at = np.flatnonzero(distance >= 0)
@@ -305,9 +322,10 @@ def candidates(lists: DataFrame, measure: Measure, again: bool) -> DataFrame:
     columns = [*_KEYS, "n", "class", "pos", "sketch", *(["root", "failed"] if again else [])]
 
     def of_list(key, parts) -> pa.RecordBatch | None:
-        n, number, pos, sketch = (np.concatenate([p[i] for p in parts]) for i in range(4))
+        n, number, pos = (np.concatenate([p[i] for p in parts]) for i in range(3))
         if len(n) < 2:
             return None
+        sketch = folded([x for p in parts for x in p[3]])
         known = (np.concatenate([p[4] for p in parts]), [f for p in parts for f in p[5]]) if again else (None, None)
         found = List(measure, n, number, pos, sketch, *known).pairs(again)
         if not len(found):
@@ -321,7 +339,7 @@ def candidates(lists: DataFrame, measure: Measure, again: bool) -> DataFrame:
                 continue
             keys = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(4)])
             n, number, pos = (batch.column(i).to_numpy() for i in (4, 5, 6))
-            sketch = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64)
+            sketch = batch.column(7).to_pylist()
             root, failed = (batch.column(8).to_numpy(), [x or () for x in batch.column(9).to_pylist()]) if again else (None, None)
             edges = np.concatenate(([0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1, [len(n)]))
             for a, b in zip(edges[:-1], edges[1:]):
@@ -359,22 +377,48 @@ def texts_of(slim: DataFrame, wanted: DataFrame, measure: Measure) -> DataFrame:
     return found.join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"])
 
 
+#: Sets that a task keeps while it verifies pairs.
+KEPT_SETS = 256
+
+
+class Recent(dict):
+    """The sets of the last classes whose texts were unpacked."""
+
+    def __init__(self, measure: Measure):
+        super().__init__()
+        self.sets, self.unpacker = Sets(measure), zstandard.ZstdDecompressor()
+
+    def of(self, number: int, data: pa.Scalar) -> np.ndarray:
+        found = self.pop(number, None)
+        if found is None:
+            if len(self) >= KEPT_SETS:
+                del self[next(iter(self))]
+            found = self.sets.of(self.unpacker.decompress(data.as_py()))
+        self[number] = found
+        return found
+
+
+def common(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    return int((b[at] == a).sum())
+
+
 def verified(pairs: DataFrame, texts: DataFrame, measure: Measure) -> DataFrame:
     """(x, y, links) of pairs of classes, from their whole sets."""
     left, right = (texts.select(F.col("class").alias(c), F.col("data").alias(f"data_{c}")) for c in "xy")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, unpacker = Sets(measure), zstandard.ZstdDecompressor()
-        last: tuple[int | None, np.ndarray | None] = (None, None)
+        sets = Recent(measure)
         for batch in batches:
             x, y = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             links = []
-            for i, number in enumerate(y):
-                if last[0] != number:
-                    last = (number, sets.of(unpacker.decompress(batch.column(3)[i].as_py())))
-                mine = sets.of(unpacker.decompress(batch.column(2)[i].as_py()))
-                common = len(mine) + len(last[1]) - len(np.union1d(mine, last[1]))
-                links.append(measure.links(common, len(mine), len(last[1])))
+            for i, (one, two) in enumerate(zip(x, y)):
+                a, b = sets.of(one, batch.column(2)[i]), sets.of(two, batch.column(3)[i])
+                links.append(measure.links(common(a, b), len(a), len(b)))
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(links, pa.bool_())], ["x", "y", "links"])
 
     return pairs.join(left, "x").join(right, "y").select("x", "y", "data_x", "data_y").mapInArrow(run, "x long, y long, links boolean")
@@ -385,15 +429,18 @@ def _connected(indexed: DataFrame, slim: DataFrame, measure: Measure, folder: st
     spark = slim.sparkSession
     shared(postings(indexed), measure).write.parquet(f"{folder}/entries")
     entries = spark.read.schema(POSTINGS).parquet(f"{folder}/entries")
-    classes = indexed.where("prefix is not null").select("class", "sketch", "id")
-    active = cut(entries.select("class").distinct())
-    known = classes.join(active, "class", "left_semi").groupBy("class").agg(F.min("id").alias("id"), F.min("sketch").alias("sketch"))
+    # The rows of a class are summed up before the shuffle, then the join.
+    classes = indexed.where("prefix is not null").groupBy("class").agg(F.min("id").alias("id"), F.min("sketch").alias("sketch"))
+    known = classes.join(entries.select("class").distinct(), "class", "left_semi")
     known.write.parquet(f"{folder}/classes")
     known = spark.read.parquet(f"{folder}/classes")
     lists = parted(banded(entries, measure).join(known.select("class", "sketch"), "class"))
     tried = cut(candidates(lists, measure, again=False))
-    links = failed = texts = None
-    rounds = 0
+    ends = cut(tried.where("x = y").select(F.col("x").alias("class")).distinct())
+    tried = tried.where("x <> y")
+    texts_of(slim, cut(ends.join(known.select("class", "id"), "class")), measure).write.parquet(f"{folder}/texts")
+    texts = spark.read.schema("class long, data binary").parquet(f"{folder}/texts")
+    links = failed = None
     while True:
         fresh = tried.select("x", "y").distinct()
         if failed is not None:
@@ -401,12 +448,6 @@ def _connected(indexed: DataFrame, slim: DataFrame, measure: Measure, folder: st
         fresh = cut(fresh)
         if fresh.isEmpty():
             break
-        ends = fresh.select(F.explode(F.array("x", "y")).alias("class")).distinct()
-        if texts is not None:
-            ends = ends.join(texts.select("class"), "class", "left_anti")
-        texts_of(slim, cut(ends.join(known.select("class", "id"), "class")), measure).write.parquet(f"{folder}/texts/{rounds}")
-        rounds += 1
-        texts = spark.read.schema("class long, data binary").option("recursiveFileLookup", "true").parquet(f"{folder}/texts")
         answers = cut(verified(fresh, texts, measure))
         new_links = answers.where("links").select(F.col("x").alias("u"), F.col("y").alias("v"))
         new_failed = answers.where("not links").select("x", "y")
