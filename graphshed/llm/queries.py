@@ -17,7 +17,7 @@ def tokenizer_path() -> str:
 
 
 def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resample.sample(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return resample.sample(table(spark, sf_dir, "documents", "doc_id", "text", "lang"), table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Importance resampling of documents towards labelled good text.
 
 Hashed unigrams and bigrams are counted in all documents (raw) and in the good
-ones (target). A document's log weight is the sum over its n-grams of the log
+ones (target), for each language apart, so that the labelled sample's mix of
+languages weighs nothing. A document's log weight is the sum over its n-grams of the log
 ratio of the two models; Gumbel noise, fixed by id and text, is added, and the
 documents with the largest sums are the sample: top-k without replacement in
 proportion to the weights.
@@ -17,12 +18,14 @@ preceded by one for capitals, so that both show up as n-grams.
 Defined results: null text counts as empty and has weight 1 (log weight 0);
 repeated rows have equal sums and stay or go together, so more than k rows can
 stay; with no labelled good document all weights are 1 and all rows stay; an
-empty table gives an empty table. ``select`` passes on all columns.
+empty table gives an empty table; a null language is one of its own. ``select``
+passes on all columns.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,8 +41,10 @@ from graphshed.llm.hashing import WordHashes, mix
 BUCKETS = 1 << 14
 #: Good documents that the target model is counted from, at most (those of the smallest hash).
 TARGET_ROWS = 10_000
-#: Pseudo-count that draws the target model to the raw one.
-PRIOR = float(BUCKETS)
+#: Pseudo-count of each bucket that draws the target model to the raw one: rare n-grams, whose counts are those of a few documents, say little.
+PRIOR = 60.0
+#: Languages share so many slots of models, by a hash of their name.
+LANGUAGES = 64
 SEED = 23
 #: Nats by which a document's weight may fall short and it still counts as explained: rather a bad document too many than a good one lost.
 LENIENCY = 1.0
@@ -80,52 +85,65 @@ class Features:
 
 @dataclass
 class Weights:
-    """Log ratio of each bucket, and the labelled share of good documents."""
+    """Log ratio of each bucket by language slot, and the labelled share of good documents."""
 
-    ratios: np.ndarray
+    ratios: dict[int, np.ndarray]
     share: float
 
 
+def slot(lang: str | None) -> int:
+    return zlib.crc32((lang or "").encode()) % LANGUAGES
+
+
 def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
     """log(target / raw) of each bucket, unigrams and bigrams as models of their own; 0 without a target."""
     out = np.zeros(BUCKETS)
     for part in (slice(0, BUCKETS // 2), slice(BUCKETS // 2, BUCKETS)):
-        q = (raw[part] + 0.5) / (raw[part].sum() + 0.25 * BUCKETS)
         if target[part].sum():
-            p = (target[part] + PRIOR * q) / (target[part].sum() + PRIOR)
-            out[part] = np.log(p / q)
+            expected = raw[part] * (target[part].sum() / raw[part].sum())
+            out[part] = np.log((target[part] + PRIOR) / (expected + PRIOR))
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Weights:
-    """Counts both models: the raw one over every document, the target over labelled good ones.
+def language(docs: DataFrame, lang_col: str | None):
+    """The language column, or null where the documents have none."""
+    return (F.col(lang_col) if lang_col in docs.columns else F.lit(None)).cast("string").alias("lang")
+
 
-    What the driver gets are two numbers for each of BUCKETS buckets.
+def fit(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", label_col: str = "quality") -> Weights:
+    """Counts the models: raw over every document, target over labelled good ones.
+
+    What the driver gets are two numbers for each of BUCKETS buckets of at most
+    LANGUAGES slots.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("good")).where("id is not null and good in (0, 1)")
     n, good = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("good"), F.lit(0))).first()
     chosen = known.where("good = 1").select("id").distinct().orderBy(F.xxhash64("id", F.lit(SEED)), "id").limit(target_rows).withColumn("chosen", F.lit(True))
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), language(docs, lang_col))
     # At most target_rows ids.
-    marked = texts.join(F.broadcast(chosen), "id", "left").select("text", F.col("chosen").isNotNull().alias("target"))
+    marked = texts.join(F.broadcast(chosen), "id", "left").select("text", "lang", F.col("chosen").isNotNull().alias("target"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
-        totals = np.zeros((2, BUCKETS), np.int64)
+        totals: dict[int, np.ndarray] = {}
         for batch in batches:
-            for text, target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text, lang, target in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                own = totals.setdefault(slot(lang), np.zeros((2, BUCKETS), np.int64))
                 counts = np.bincount(features.buckets(text), minlength=BUCKETS)
-                totals[0] += counts
+                own[0] += counts
                 if target:
-                    totals[1] += counts
-        seen = np.flatnonzero(totals[0])
-        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(totals[0][seen]), pa.array(totals[1][seen])], ["bucket", "raw", "target"])
-
-    sums = marked.mapInArrow(count, "bucket int, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    at = sums["bucket"].to_numpy()
+                    own[1] += counts
+        for number, own in totals.items():
+            seen = np.flatnonzero(own[0])
+            yield pa.RecordBatch.from_arrays([pa.array((number * BUCKETS + seen).astype(np.int32)), pa.array(own[0][seen]), pa.array(own[1][seen])], ["cell", "raw", "target"])
+
+    sums = marked.mapInArrow(count, "cell int, raw long, target long").groupBy("cell").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()
+    raw, target = np.zeros(LANGUAGES * BUCKETS), np.zeros(LANGUAGES * BUCKETS)
+    at = sums["cell"].to_numpy()
     raw[at], target[at] = sums["raw"].to_numpy(), sums["target"].to_numpy()
-    return Weights(log_ratios(raw, target), good / n if good else 1.0)
+    raw, target = raw.reshape(LANGUAGES, BUCKETS), target.reshape(LANGUAGES, BUCKETS)
+    ratios = {i: log_ratios(raw[i], target[i]) for i in range(LANGUAGES) if raw[i].any()}
+    return Weights(ratios, good / n if good else 1.0)
 
 
 def gumbel(key: str, text: str) -> float:
@@ -139,16 +157,17 @@ def gumbel(key: str, text: str) -> float:
 STEP, MOST = 1 << 20, 1 << 44
 
 
-def _scored(weights: Weights, slim_at: tuple[int, int], least: int | None):
+def _scored(weights: Weights, places: tuple[int, int, int | None], least: int | None):
     """Adds log_weight and steps to batches, or keeps the rows with at least so many steps."""
-    ratios = weights.ratios
-    id_at, text_at = slim_at
+    ratios, none = weights.ratios, np.zeros(BUCKETS)
+    id_at, text_at, lang_at = places
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
             ids, texts = batch.column(id_at).to_pylist(), batch.column(text_at).to_pylist()
-            w = np.array([ratios[features.buckets(t or "")].sum() for t in texts], float)
+            langs = batch.column(lang_at).to_pylist() if lang_at is not None else [None] * len(texts)
+            w = np.array([ratios.get(slot(lang), none)[features.buckets(t or "")].sum() for t, lang in zip(texts, langs)], float)
             noisy = w + np.array([gumbel(str(i), t or "") for i, t in zip(ids, texts)], float)
             steps = np.clip(np.floor(noisy * STEP), -MOST, MOST - 1).astype(np.int64)
             if least is None:
@@ -159,11 +178,11 @@ def _scored(weights: Weights, slim_at: tuple[int, int], least: int | None):
     return run
 
 
-def score(docs: DataFrame, weights: Weights, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, weights: Weights, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
     """(id, log_weight, noisy, steps) of every document."""
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), language(docs, lang_col))
     kind = slim.schema["id"].dataType.simpleString()
-    return slim.mapInArrow(_scored(weights, (0, 1), None), f"id {kind}, log_weight double, noisy double, steps long")
+    return slim.mapInArrow(_scored(weights, (0, 1, 2), None), f"id {kind}, log_weight double, noisy double, steps long")
 
 
 def sample_size(scored: DataFrame, share: float) -> int:
@@ -198,16 +217,20 @@ def threshold(scored: DataFrame, share: float, k: int | None = None) -> int:
     return kth_largest(scored, k) if k > 0 else MOST
 
 
-def sample(docs: DataFrame, labels: DataFrame, k: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sample(docs: DataFrame, labels: DataFrame, k: int | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
     """(id, log_weight, key) of the sampled documents."""
-    weights = fit(docs, labels, id_col=id_col, text_col=text_col)
-    scored = cut(score(docs, weights, id_col, text_col))
+    names = {"id_col": id_col, "text_col": text_col, "lang_col": lang_col}
+    weights = fit(docs, labels, **names)
+    scored = cut(score(docs, weights, **names))
     kept = scored.where(F.col("steps") >= threshold(scored, weights.share, k))
     return kept.select(F.col("id").alias(id_col), "log_weight", F.col("noisy").alias("key"))
 
 
-def select(docs: DataFrame, labels: DataFrame, k: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def select(docs: DataFrame, labels: DataFrame, k: int | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
     """The sampled documents with all their columns. Texts are scored a third time rather than shuffled to be joined."""
-    weights = fit(docs, labels, id_col=id_col, text_col=text_col)
-    least = threshold(cut(score(docs, weights, id_col, text_col)), weights.share, k)
-    return docs.mapInArrow(_scored(weights, (docs.columns.index(id_col), docs.columns.index(text_col)), least), docs.schema)
+    names = {"id_col": id_col, "text_col": text_col, "lang_col": lang_col}
+    weights = fit(docs, labels, **names)
+    least = threshold(cut(score(docs, weights, **names)), weights.share, k)
+    at = docs.columns.index
+    places = at(id_col), at(text_col), at(lang_col) if lang_col in docs.columns else None
+    return docs.mapInArrow(_scored(weights, places, least), docs.schema)

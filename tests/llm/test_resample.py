@@ -41,7 +41,8 @@ def test_models_count_every_document(spark):
         for b, n in collections.Counter(features.buckets(text).tolist()).items():
             raw[b] += n
             target[b] += n * (i in good)
-    assert np.allclose(weights.ratios, resample.log_ratios(raw, target))
+    assert list(weights.ratios) == [resample.slot(None)]
+    assert np.allclose(weights.ratios[resample.slot(None)], resample.log_ratios(raw, target))
     assert weights.share == sum(q for _, q in labels) / len(labels)
 
 
@@ -59,6 +60,21 @@ def test_selection(spark):
     assert sorted(ten, reverse=True) == every[:10]
 
 
+def test_the_mix_of_languages_weighs_nothing(spark):
+    """Labels that hold one language only: the other's good documents stay, though the target has none of their words."""
+    r = random.Random(5)
+    docs, labels = [], []
+    for i in range(600):
+        lang = "aa" if i % 3 else "bb"
+        words = " ".join(f"{lang}{r.randrange(40)}" for _ in range(80))
+        docs.append((i, words.upper() + "!!" if i % 10 == 0 else words, lang))
+        if i % 2 and (lang == "aa" or i % 15 == 0):
+            labels.append((i, int(i % 10 != 0)))
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    kept = {x.doc_id for x in resample.sample(df, spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
+    assert len({i for i, *_ in docs if i % 10} - kept) <= 6
+
+
 def test_kth_largest(spark):
     r = random.Random(1)
     values = [r.randrange(-resample.MOST, resample.MOST) for _ in range(500)] + [5] * 40 + [-resample.MOST, resample.MOST - 1]
