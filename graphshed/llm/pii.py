@@ -28,7 +28,7 @@ EMAIL = rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+IBAN = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?"
 
 _UP_TO_255 = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
@@ -89,6 +89,10 @@ def find(text: Column, kind: str) -> Column:
     """Confirmed and scored spans of a kind in a text; texts without a character that the kind needs aren't searched."""
     pattern, needed = {"email": (EMAIL, "@"), "ip": (IP, "."), "card": (CARD, None), "phone": (PHONE, "+"), "iban": (IBAN, None)}[kind]
     found = S.find(text, kind, pattern)
+    if kind == "iban":
+        # Not a part of a longer run of letters and digits.
+        around = lambda s: F.concat(F.substr(text, F.greatest(s["start"], F.lit(1)), F.least(s["start"], F.lit(1))), F.lit(" "), F.substr(text, s["stop"] + 1, F.lit(1)))
+        found = F.filter(found, lambda s: ~around(s).rlike("[A-Za-z0-9]"))
     if needed:
         found = F.when(F.contains(text, F.lit(needed)), found).otherwise(S.none())
     return _scored(text, kind, F.filter(found, passes))

@@ -34,7 +34,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    return found.drop("items")
+    return found.drop("items", "spans")
 
 
 #: The list rules.

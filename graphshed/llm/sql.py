@@ -2,6 +2,69 @@
 
 from __future__ import annotations
 
+# A-Z become lower case and nothing else does; all else that is no word becomes a space.
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+JACCARD = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) END) AS sh FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+l AS MATERIALIZED (SELECT a.doc_id AS x, b.doc_id AS y FROM s a JOIN s b USING (sh) JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+    WHERE 100 * least(na.n, nb.n) >= 90 * greatest(na.n, nb.n) GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 90 * (na.n + nb.n - count(*))),
+r(x, y) AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.least, d.doc_id) AS component_id FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x AS doc_id, min(y) AS least FROM r GROUP BY x) c USING (doc_id)
+"""
+
+_UP_TO_255 = "0*([0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
+_DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+_LUHN = f"(list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN ({_DIGITS})[-i]::INT WHEN ({_DIGITS})[-i]::INT > 4 THEN 2 * ({_DIGITS})[-i]::INT - 9 ELSE 2 * ({_DIGITS})[-i]::INT END)) % 10 = 0)"
+_PLAIN = "regexp_replace(m, '[^A-Z0-9]', '', 'g')"
+_MOD97 = f"(list_reduce(list_transform(range(1, length({_PLAIN}) + 1), lambda i: strpos('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', (substr({_PLAIN}, 5) || {_PLAIN}[1:4])[i]) - 1), lambda a, c: CASE WHEN c > 9 THEN (a * 100 + c) % 97 ELSE (a * 10 + c) % 97 END) = 1)"
+_KINDS = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", rf"regexp_full_match(m, '{_UP_TO_255}(\.{_UP_TO_255}){{3}}')"),
+    ("card", r"[0-9]([\x20-]?[0-9])+", f"length({_DIGITS}) BETWEEN 13 AND 19 AND {_LUHN}"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15"),
+    ("iban", r"[A-Z]{2}[0-9]{2}(\x20?[A-Z0-9]{4}){2,7}(\x20?[A-Z0-9]{1,3})?", f"length(replace(m, ' ', '')) BETWEEN 15 AND 34 AND {_MOD97} AND NOT regexp_matches(CASE WHEN a > 0 THEN t[a] ELSE '' END || ' ' || substr(t, a + 1 + length(m), 1), '[A-Za-z0-9]')"),
+]
+_FOUND = " UNION ALL ".join(
+    f"""SELECT doc_id, {k} AS k, '{kind}' AS kind, a, a + length(m) AS b FROM (SELECT doc_id, t, m[i] AS m,
+        (list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::BIGINT AS a
+        FROM (SELECT doc_id, t, g, m, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, t, string_split_regex(t, '{pattern}') AS g, regexp_extract_all(t, '{pattern}') AS m FROM d) x) y) z WHERE {test}"""
+    for k, (kind, pattern, test) in enumerate(_KINDS)
+)
+_COUNTS = ", ".join(f"count(*) FILTER (WHERE kind = '{kind}') AS n_{kind}" for kind, *_ in _KINDS[:4])
+_ZEROES = ", ".join(f"coalesce(n_{kind}, 0) AS n_{kind}" for kind, *_ in _KINDS[:4])
+
+PII = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), f AS ({_FOUND}),
+g AS (SELECT doc_id, {_COUNTS}, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY k, a) FILTER (WHERE kind <> 'iban') AS base, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY k, a) AS spans FROM f GROUP BY doc_id)
+SELECT d.doc_id, {_ZEROES}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (doc_id)
+"""
+
+_WORDS = rf"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
+DECONTAMINATION = f"""
+WITH i AS (SELECT item_id, {_WORDS} AS words FROM benchmark WHERE item_id IS NOT NULL),
+k AS (SELECT DISTINCT item_id, least(13, len(words)) AS width, array_to_string(words[p:p + least(13, len(words)) - 1], ' ') AS key FROM (SELECT item_id, words, unnest(range(1, len(words) - least(13, len(words)) + 2)) AS p FROM i WHERE len(words) > 0) x),
+d AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS words FROM documents),
+h AS (SELECT row, p, width, item_id FROM (SELECT row, p, width, array_to_string(words[p:p + width - 1], ' ') AS key FROM (SELECT row, words, width, unnest(range(1, len(words) - width + 2)) AS p FROM d, (SELECT DISTINCT width FROM k) w WHERE len(words) >= width) x) y JOIN k USING (width, key)),
+n AS (SELECT row, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM h GROUP BY row),
+u AS (SELECT row, count(DISTINCT q) AS n_hit FROM (SELECT row, unnest(range(p, p + width)) AS q FROM h) x GROUP BY row)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated FROM d LEFT JOIN n USING (row) LEFT JOIN u USING (row)
+"""
+
+# Five hex digits at a time are four letters of base 32.
+_HEX5 = "list_reduce(list_transform(range(5 * c + 1, 5 * c + 6), lambda i: strpos('0123456789abcdef', h[i]) - 1), lambda a, x: a * 16 + x)"
+_BASE32 = f"list_reduce(list_transform(range(0, 8), lambda c: list_reduce(list_transform([15, 10, 5, 0], lambda s: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(({_HEX5}) >> s) % 32 + 1]), lambda a, x: a || x)), lambda a, x: a || x)"
+
+WARC = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages), f AS (SELECT payload, min(page_id) AS first FROM p GROUP BY payload),
+q AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS h, first FROM p JOIN f USING (payload))
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM q
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_ngram_jaccard_join": JACCARD, "op4_pii": PII, "op5_benchmark_decontamination": DECONTAMINATION, "op8_warc": WARC}
