@@ -456,16 +456,21 @@ def bbox_ways(t):
     return bbox.way_boxes(T.changes(t), T.store(t))
 
 
+def _kept(t: T.Tables) -> tuple[DataFrame, Store]:
+    """The change file and the store as tables of their own, as they are outside of these stand-ins."""
+    s = T.store(t)
+    return cut(T.changes(t)), Store(cut(s.nodes), cut(s.ways), cut(s.relations))
+
+
 @query
 def bbox_relations(t):
-    changes = T.changes(t)
-    s = T.store(t)
-    return bbox.relation_boxes(changes, s, bbox.way_boxes(changes, s))
+    changes, s = _kept(t)
+    return bbox.relation_boxes(changes, s, cut(bbox.way_boxes(changes, s)))
 
 
 def _annotated(t: T.Tables) -> tuple[DataFrame, Store]:
-    s = T.store(t)
-    return cut(bbox.annotate(T.changes(t), s)), s
+    changes, s = _kept(t)
+    return cut(bbox.annotate(changes, s)), s
 
 
 @query
