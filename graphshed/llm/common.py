@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,3 +56,9 @@ def partitions(spark: SparkSession) -> int:
 def whole(name: str = "text"):
     """The text column with null as empty text."""
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def each(column: pa.Array, slice_rows: int = 64) -> Iterator:
+    """A column's values as Python objects, a few rows at a time: a batch of long texts is never unpacked whole."""
+    for begin in range(0, len(column), slice_rows):
+        yield from column.slice(begin, slice_rows).to_pylist()

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphshed.llm import bloom, components
-from graphshed.llm.common import cut, fresh_dir
+from graphshed.llm.common import cut, each, fresh_dir
 from graphshed.llm.hashing import LOWER, WordHashes, shingles
 
 #: Buckets in which shingles are counted, to put frequent ones last in every set.
@@ -44,6 +44,8 @@ COUNTERS = 1 << 18
 CELLS, SKETCH_LEAST, SKETCH_MOST = 8, 256, 8192
 #: Lists longer than this are dealt to several tasks, in pairs of parts.
 LIST_MOST = 3000
+#: Lists up to this length are compared as a square.
+SMALL_LIST = 48
 #: Sizes of index bands, each this many times as large as the last at most (a power of the least size ratio).
 BAND_STEPS = 4
 #: Pairs for each set of a list that are tried at once after the first round.
@@ -105,6 +107,8 @@ def sketch_of(tokens: np.ndarray, measure: Measure) -> bytes:
 def folded(sketches: list[bytes]) -> np.ndarray:
     """Sketches as rows of 64-bit words, all folded to the shortest one's length: a parity of fewer cells is that of the cells that fall together."""
     width = min(map(len, sketches))
+    if len(set(map(len, sketches))) == 1:
+        return np.frombuffer(b"".join(sketches), np.uint64).reshape(-1, width // 8)
     rows = np.empty((len(sketches), width // 8), np.uint64)
     for i, sketch in enumerate(sketches):
         rows[i] = np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, width // 8), axis=0)
@@ -117,9 +121,9 @@ def frequencies(slim: DataFrame, measure: Measure) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, totals = Sets(measure), np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            for text in batch.column(1).to_pylist():
+            for text in each(batch.column(1)):
                 tokens = sets.of(text)
-                np.add.at(totals, (tokens % np.uint64(COUNTERS)).astype(np.int64), 1)
+                np.add.at(totals, (tokens % np.uint64(COUNTERS)).view(np.int64), 1)
         seen = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(totals[seen])], ["cell", "n"])
 
@@ -140,7 +144,7 @@ def index(slim: DataFrame, measure: Measure, levels: np.ndarray) -> DataFrame:
         sets, level = Sets(measure), sent.value
         for batch in batches:
             rows = []
-            for text in batch.column(1).to_pylist():
+            for text in each(batch.column(1)):
                 tokens = sets.of(text)
                 n = len(tokens)
                 if not n:
@@ -252,24 +256,37 @@ class List:
         self.first = np.searchsorted(self.n, measure.least_partner(self.n), "left")
         self.last = np.searchsorted(self.n, 100 * self.n // measure.percent, "right")
 
+        # All distances at once where that is little.
+        self.square = self._distances(slice(None), slice(None)) if len(order) <= SMALL_LIST else None
+        if self.square is not None and not any(map(len, self.failed)) and not (self.square >= 0).any():
+            self.first = self.last = np.zeros(len(order), np.int64)
+
+    def _distances(self, rows, columns) -> np.ndarray:
+        """Sketch distances of entries, -1 where linking is ruled out by sizes, positions, sketches or a common root."""
+        n, m = self.n[rows, None], self.n[None, columns]
+        both = n + m
+        distance = np.bitwise_count(self.sketch[rows, None] ^ self.sketch[None, columns]).sum(axis=2, dtype=np.int64)
+        left = np.minimum(n - self.pos[rows, None], m - self.pos[None, columns])
+        fits = (distance <= self.measure.difference(both)) & (left >= self.measure.overlap(both)) & (self.root[rows, None] != self.root[None, columns])
+        return np.where(fits, distance, -1)
+
     def near(self, i: int) -> tuple[int, int, np.ndarray]:
         """(first, last, distances) of the entries that entry i may link with; -1 where that is ruled out. What lies outside the fitting sizes is skipped as a block."""
         a, b = int(self.first[i]), int(self.last[i])
-        n, both = self.n[a:b], self.n[a:b] + self.n[i]
-        left = np.minimum(n - self.pos[a:b], self.n[i] - self.pos[i])
-        distance = np.bitwise_count(self.sketch[a:b] ^ self.sketch[i]).sum(axis=1, dtype=np.int64)
-        fits = (distance <= self.measure.difference(both)) & (left >= self.measure.overlap(both)) & (self.root[a:b] != self.root[i])
+        distance = self.square[i, a:b] if self.square is not None else self._distances(slice(i, i + 1), slice(a, b))[0]
         if len(self.failed[i]):
-            fits &= ~np.isin(self.number[a:b], self.failed[i])
-        return a, b, np.where(fits, distance, -1)
+            distance = np.where(np.isin(self.number[a:b], self.failed[i]), -1, distance)
+        return a, b, distance
 
-    def forest(self) -> list[tuple[int, int]]:
-        """Pairs of entries that span what may be connected, the nearest first (Prim's algorithm; entries of one root count as connected)."""
+    def forest(self) -> tuple[list[tuple[int, int]], np.ndarray]:
+        """(pairs, near): pairs of entries that span what may be connected, the nearest first (Prim's algorithm; entries of one root count as connected), and which entries have a near one at all."""
         m = len(self.n)
+        pairs: list[tuple[int, int]] = []
+        if not self.last.any():
+            return pairs, np.zeros(m, bool)
         far = np.iinfo(np.int64).max
         best, parent = np.full(m, far), np.full(m, -1)
-        done = np.zeros(m, bool)
-        pairs = []
+        done, has = np.zeros(m, bool), np.zeros(m, bool)
         same: dict[int, list[int]] = {}
         for i, root in enumerate(self.root.tolist()):
             same.setdefault(root, []).append(i)
@@ -280,17 +297,20 @@ class List:
             while todo >= 0:
                 if parent[todo] >= 0:
                     pairs.append((int(parent[todo]), int(todo)))
-                for i in same[int(self.root[todo])]:
-                    done[i] = True
-                    best[i] = far
-                for i in same[int(self.root[todo])]:
+                own = same[int(self.root[todo])]
+                done[own], best[own] = True, far
+                for i in own:
                     a, b, distance = self.near(i)
-                    closer = np.flatnonzero((distance >= 0) & ~done[a:b] & (distance < best[a:b]))
-                    best[a + closer], parent[a + closer] = distance[closer], i
+                    at = np.flatnonzero(distance >= 0)
+                    if not len(at):
+                        continue
+                    has[i] = True
+                    at = at[~done[a + at] & (distance[at] < best[a + at])]
+                    best[a + at], parent[a + at] = distance[at], i
                 todo = int(best.argmin())
                 if best[todo] == far:
                     todo = -1
-        return pairs
+        return pairs, has
 
     def pairs(self, again: bool) -> np.ndarray:
         """Pairs of classes to verify, the smaller number first. After the first round also the TRIES nearest of each entry.
@@ -298,9 +318,9 @@ class List:
         In the first round every entry that has a near one is also given out
         with itself: whatever is tried later is among these.
         """
-        found = self.forest()
+        found, has = self.forest()
         if not again:
-            found += [(i, i) for i in range(len(self.n)) if (self.near(i)[2] >= 0).any()]
+            found += [(i, i) for i in np.flatnonzero(has).tolist()]
         elif found:
             for i in range(len(self.n)):
                 a, _, distance = self.near(i)
@@ -367,8 +387,8 @@ def texts_of(slim: DataFrame, wanted: DataFrame, measure: Measure) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, packer = Sets(measure), zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            texts = batch.column(0).filter(pa.array(bloom.passing(bits.value, batch.column(1)))).to_pylist()
-            rows = [(class_of(tokens), packer.compress(t.encode())) for t in texts if len(tokens := sets.of(t))]
+            texts = batch.column(0).filter(pa.array(bloom.passing(bits.value, batch.column(1))))
+            rows = [(class_of(tokens), packer.compress(t.encode())) for t in each(texts) if len(tokens := sets.of(t))]
             if rows:
                 number, data = zip(*rows)
                 yield pa.RecordBatch.from_arrays([pa.array(number, pa.int64()), pa.array(data, pa.binary())], ["class", "data"])
@@ -506,9 +526,8 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
 
         return probed.mapInArrow(run, docs.schema)
 
-    keys = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"))
-    kept = found.where(F.col("id").eqNullSafe(F.col("component_id")) | (F.col("id").isNull() & F.col("component_id").isNull())).select("id").distinct()
-    doubtful = rows(True)
-    joined = doubtful.join(cut(kept), doubtful[id_col].eqNullSafe(F.col("id")), "left_semi")
-    one = joined.withColumn("_key", keys).dropDuplicates(["_key"]).drop("_key")
+    kept = found.where(F.col("id").eqNullSafe(F.col("component_id")) | (F.col("id").isNull() & F.col("component_id").isNull())).select(F.struct("id").alias("_key")).distinct()
+    # In a struct a null id is equal to itself, and the name can't clash.
+    doubtful = rows(True).withColumn("_key", F.struct(F.col(id_col).alias("id")))
+    one = doubtful.join(cut(kept), "_key", "left_semi").withColumn("_text", F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))).dropDuplicates(["_key", "_text"])
     return rows(False).unionByName(one.select(*columns))
