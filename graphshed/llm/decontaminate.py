@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphshed.llm.common import each
+
 #: Words stay, A-Z becomes lower case, all else that is ASCII becomes a space.
 _WORDS = bytes(b if b >= 128 or chr(b).isdigit() or chr(b).islower() else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
@@ -147,15 +149,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             windows = _windows(key, items, window)
             for batch in batches:
-                texts = batch.column(text_at).to_pylist()
+                texts = batch.column(text_at)
                 before = [None] * len(texts) if first else list(zip(batch.column(n_fields).to_pylist(), batch.column(n_fields + 1).to_pylist()))
                 out = []
-                for text, was in zip(texts, before):
+                for text, was in zip(each(texts), before):
                     words = words_of(text or "")
                     hits = windows.scan(words)
                     ranges = merge([(a, b) for a, b, _ in hits] + (list(zip(was[0][::2], was[0][1::2])) if was else []))
                     found = set(was[1] if was else ()).union(*(windows.keys[k] for k in {k for _, _, k in hits}))
-                    out.append((ranges, found, text, len(words)))
+                    out.append((ranges, found, text if ranges else None, len(words)))
                 columns = list(batch.columns[:n_fields])
                 if not last:
                     yield pa.RecordBatch.from_arrays([*columns, pa.array([[x for r in ranges for x in r] for ranges, *_ in out], state[1]), pa.array([sorted(f) for _, f, *_ in out], pa.list_(pa.string()))], [*names_in, state[0], "_items"])

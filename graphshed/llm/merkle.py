@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphshed.llm.common import partitions
+from graphshed.llm.common import each, partitions
 from graphshed.llm.hashing import WordHashes, mix
 
 #: One paragraph in so many ends a section, one word in so many a run; runs and sections are also cut at a length.
@@ -198,7 +198,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         held = None  # the row that waits for the next one: (id, text, fingerprint)
         for batch in batches:
             rows = []
-            for ahead, key, text in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+            for ahead, key, text in zip(*(each(batch.column(i)) for i in (1, 2, 3))):
                 if ahead and held is None:
                     continue
                 own = make.of(text)

@@ -21,6 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphshed.llm.common import each
+
 #: Bits of a sequence id below the number of the partition that made it.
 SEQUENCE_BITS = 36
 
@@ -114,7 +116,7 @@ def tokenise(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int
             rows: list[tuple] = []
             origin: list[int] = []
             kept: list[np.ndarray] = []
-            for i, text in enumerate(batch.column(1).to_pylist()):
+            for i, text in enumerate(each(batch.column(1))):
                 ids = np.array([*encode(text), end_id], "<u4")
                 for k, (start, length) in enumerate(cut_points(len(ids), capacity)):
                     part = ids[start : start + length]

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphshed.llm.common import cut
+from graphshed.llm.common import cut, each
 from graphshed.llm.hashing import WordHashes, mix
 
 BUCKETS = 1 << 14
@@ -127,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS, id_c
         features = Features()
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
-            for text, lang, target in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for text, lang, target in zip(*(each(batch.column(i)) for i in range(3))):
                 own = totals.setdefault(slot(lang), np.zeros((2, BUCKETS), np.int64))
                 counts = np.bincount(features.buckets(text), minlength=BUCKETS)
                 own[0] += counts
@@ -165,10 +165,10 @@ def _scored(weights: Weights, places: tuple[int, int, int | None], least: int |
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
-            ids, texts = batch.column(id_at).to_pylist(), batch.column(text_at).to_pylist()
-            langs = batch.column(lang_at).to_pylist() if lang_at is not None else [None] * len(texts)
-            w = np.array([ratios.get(slot(lang), none)[features.buckets(t or "")].sum() for t, lang in zip(texts, langs)], float)
-            noisy = w + np.array([gumbel(str(i), t or "") for i, t in zip(ids, texts)], float)
+            langs = batch.column(lang_at).to_pylist() if lang_at is not None else [None] * batch.num_rows
+            rows = [(ratios.get(slot(lang), none)[features.buckets(t or "")].sum(), gumbel(str(i), t or "")) for i, t, lang in zip(each(batch.column(id_at)), each(batch.column(text_at)), langs)]
+            w, noise = np.array(rows, float).reshape(-1, 2).T
+            noisy = w + noise
             steps = np.clip(np.floor(noisy * STEP), -MOST, MOST - 1).astype(np.int64)
             if least is None:
                 yield pa.RecordBatch.from_arrays([batch.column(id_at), pa.array(w), pa.array(noisy), pa.array(steps)], ["id", "log_weight", "noisy", "steps"])

@@ -30,6 +30,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from graphshed.llm.common import each
+
 TOXIC_ROWS, CLEAN_ROWS = 1500, 3000
 SLOTS = 1 << 18
 DIM, FILTERS, WIDTHS = 8, 6, (1, 2, 3)
@@ -222,7 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, **bounds: int) -> Model:
 class Scorer:
     """Scores whole texts: each word's share in every filter is a row of numbers worked out once."""
 
-    def __init__(self, model: Model, most: int = 150_000):
+    def __init__(self, model: Model, most: int = 50_000):
         self.model, self.most = model, most
         self.taps = sum(WIDTHS) * FILTERS
         self.kernel = np.concatenate([k.reshape(w, DIM, FILTERS).transpose(1, 0, 2).reshape(DIM, w * FILTERS) for w, k in zip(WIDTHS, model.kernels)], axis=1)
@@ -291,7 +293,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "
         own = scorer(key, sent.value)
         limits = sent.value.thresholds
         for batch in batches:
-            scores = np.array([own.score(t) for t in batch.column(1).to_pylist()], float)
+            scores = np.array([own.score(t) for t in each(batch.column(1))], float)
             flagged = [s >= limits.get(lang, threshold) for s, lang in zip(scores, batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(3), pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32)), pa.array(flagged, pa.bool_())],

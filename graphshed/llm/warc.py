@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphshed.llm.common import fresh_dir
+from graphshed.llm.common import each, fresh_dir
 
 CHUNK = 1 << 16
 #: Plain bytes after which a task begins another archive.
@@ -205,7 +205,7 @@ def write(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id", url_c
             return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([records], pa.int64()), pa.array([size], pa.int64())], ["archive", "records", "bytes"])
 
         for batch in batches:
-            for page_id, url, payload, first, revisit in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for page_id, url, payload, first, revisit in zip(*(each(batch.column(i)) for i in range(5))):
                 if out is None:
                     name, records, plain, size = f"{uuid.uuid4().hex}.warc.gz", 0, 0, 0
                     out = place.open_output_stream(f"{folder}/{name}", compression=None)
