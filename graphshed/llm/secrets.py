@@ -38,7 +38,7 @@ ASSIGN = rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 # A shorter run can't hold a long enough one, so the least length stands in the pattern.
 ACCESS = "AKIA[A-Z0-9]{16,}"
 HEX = "[0-9a-f]{24,}"
-TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
+TOKEN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 
 HEX_DIGITS = "0123456789abcdef"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"

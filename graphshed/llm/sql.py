@@ -28,19 +28,54 @@ _KINDS = [
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15"),
     ("iban", r"[A-Z]{2}[0-9]{2}(\x20?[A-Z0-9]{4}){2,7}(\x20?[A-Z0-9]{1,3})?", f"length(replace(m, ' ', '')) BETWEEN 15 AND 34 AND {_MOD97} AND NOT regexp_matches(CASE WHEN a > 0 THEN t[a] ELSE '' END || ' ' || substr(t, a + 1 + length(m), 1), '[A-Za-z0-9]')"),
 ]
-_FOUND = " UNION ALL ".join(
-    f"""SELECT doc_id, {k} AS k, '{kind}' AS kind, a, a + length(m) AS b FROM (SELECT doc_id, t, m[i] AS m,
-        (list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::BIGINT AS a
-        FROM (SELECT doc_id, t, g, m, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, t, string_split_regex(t, '{pattern}') AS g, regexp_extract_all(t, '{pattern}') AS m FROM d) x) y) z WHERE {test}"""
-    for k, (kind, pattern, test) in enumerate(_KINDS)
-)
+
+
+def _spans(kinds: list[tuple[str, str, str]]) -> str:
+    """(row, k, kind, a, b, m) of the matches that pass their kind's test. What stands between matches gives their places."""
+    return " UNION ALL ".join(
+        f"""SELECT row, {k} AS k, '{kind}' AS kind, a, a + length(m) AS b, m FROM (SELECT row, t, m[i] AS m,
+            (list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::BIGINT AS a
+            FROM (SELECT row, t, g, m, unnest(range(1, len(m) + 1)) AS i FROM (SELECT row, t, string_split_regex(t, '{pattern}') AS g, regexp_extract_all(t, '{pattern}') AS m FROM d) x) y) z WHERE {test}"""
+        for k, (kind, pattern, test) in enumerate(kinds)
+    )
+
+
 _COUNTS = ", ".join(f"count(*) FILTER (WHERE kind = '{kind}') AS n_{kind}" for kind, *_ in _KINDS[:4])
 _ZEROES = ", ".join(f"coalesce(n_{kind}, 0) AS n_{kind}" for kind, *_ in _KINDS[:4])
 
 PII = f"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), f AS ({_FOUND}),
-g AS (SELECT doc_id, {_COUNTS}, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY k, a) FILTER (WHERE kind <> 'iban') AS base, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY k, a) AS spans FROM f GROUP BY doc_id)
-SELECT d.doc_id, {_ZEROES}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (doc_id)
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents), f AS ({_spans(_KINDS)}),
+g AS (SELECT row, {_COUNTS}, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY k, a) FILTER (WHERE kind <> 'iban') AS base, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY k, a) AS spans FROM f GROUP BY row)
+SELECT d.doc_id, {_ZEROES}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (row)
+"""
+
+_NAME = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+_ASSIGN = rf"""({_NAME})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_SECRET_KINDS = [("assign", _ASSIGN, f"length(regexp_extract(m, '{_ASSIGN}', 2)) >= 6"), ("access", "AKIA[A-Z0-9]+", "length(m) >= 20"), ("hex", "[0-9a-f]+", "length(m) >= 24")]
+_ALPHABET = "CASE enc WHEN 'hex' THEN '0123456789abcdef' WHEN 'base32' THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' ELSE 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/' END"
+
+
+def _tail(z: str) -> str:
+    return f"(1 / (1 + exp(least(600.0, 1.5976 * ({z}) + 0.070566 * ({z}) * ({z}) * ({z})))))"
+
+
+SECRETS = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents), f AS ({_spans(_SECRET_KINDS)}),
+e AS (SELECT *, CASE WHEN NOT (regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]')) THEN NULL WHEN regexp_full_match(m, '[0-9a-f]+|[0-9A-F]+') THEN 'hex' WHEN regexp_full_match(m, '[A-Z2-7]+={{0,2}}') THEN 'base32'
+    WHEN regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]') THEN 'base64' END AS enc FROM ({_spans([("random", "[A-Za-z0-9+/_-]{20,}={0,2}", "true")])}) x),
+s AS (SELECT *, {_ALPHABET} AS alphabet, regexp_extract_all(CASE WHEN enc = 'hex' THEN lower(m) ELSE replace(translate(m, '-_', '+/'), '=', '') END, '.') AS sym FROM e WHERE enc IS NOT NULL),
+r AS (SELECT *, length(alphabet)::DOUBLE AS z, len(sym)::DOUBLE AS n, list_transform(sym, lambda c: strpos(alphabet, c) - 1) AS ranks, list_sum(list_transform(list_distinct(sym), lambda c: pow(len(list_filter(sym, lambda x: x = c)), 2)))::DOUBLE AS squares FROM s),
+c AS (SELECT *, greatest(z * squares / n - n, 0) AS chi, 2 / (9 * (z - 1)) AS spread, list_sum(list_transform(range(1, n::INT), lambda i: ((ranks[i] * 2 >= z) <> (ranks[i + 1] * 2 >= z))::INT)) AS changes,
+    list_sum(list_transform(range(1, n::INT), lambda i: (ranks[i] - (z - 1) / 2) * (ranks[i + 1] - (z - 1) / 2))) AS serial FROM r),
+p AS (SELECT *, least(1.0, 3 * least({_tail("(pow(chi / (z - 1), 1.0::DOUBLE / 3) - (1 - spread)) / sqrt(spread)")}, 2 * {_tail("abs(changes - (n - 1) / 2) / sqrt((n - 1) / 4)")}, 2 * {_tail("abs(serial) / ((z * z - 1) / 12) / sqrt(n - 1)")})) AS p FROM c),
+q AS (SELECT *, floor(log2(length(m)))::INT AS class, n >= CASE WHEN enc = 'base64' THEN 20 ELSE 24 END AS enough, least(3000, floor(-log10(greatest(p, 1e-300)) * 10))::INT AS step FROM p),
+h AS (SELECT enc, class, step, count(*) AS n FROM q GROUP BY enc, class, step),
+o AS (SELECT *, sum(n) OVER (PARTITION BY enc, class ORDER BY step DESC) AS rank, sum(n) OVER (PARTITION BY enc, class) AS every FROM h),
+l AS (SELECT enc, class, min(step) AS least FROM o WHERE pow(10.0::DOUBLE, -step / 10.0::DOUBLE) <= 0.05::DOUBLE * rank / every GROUP BY enc, class),
+u AS (SELECT row, k, kind, a, b FROM f UNION ALL SELECT row, 3, kind, a, b FROM q LEFT JOIN l USING (enc, class) WHERE enough AND step < coalesce(least, 3001) AND NOT EXISTS (SELECT 1 FROM f WHERE f.row = q.row AND f.a < q.b AND q.a < f.b)),
+g AS (SELECT row, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access, count(*) FILTER (WHERE k = 2) AS n_hex,
+    string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, k) FILTER (WHERE k < 3) AS base, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, k) AS spans FROM u GROUP BY row)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (row)
 """
 
 _WORDS = rf"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
@@ -67,4 +102,4 @@ SELECT page_id, payload_bytes, {_BASE32} AS payload_digest, CASE WHEN page_id =
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_ngram_jaccard_join": JACCARD, "op4_pii": PII, "op5_benchmark_decontamination": DECONTAMINATION, "op8_warc": WARC}
+    return {"op3_ngram_jaccard_join": JACCARD, "op4_pii": PII, "op5_benchmark_decontamination": DECONTAMINATION, "op7_secret_scans": SECRETS, "op8_warc": WARC}
