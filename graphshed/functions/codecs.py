@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Added to coordinates before they are written as unsigned numbers.
+#: Fixed value: added to coordinates before they are written as unsigned numbers.
 BIAS = 1_800_000_000
 
 

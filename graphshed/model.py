@@ -23,6 +23,7 @@ RELATION = f"id bigint, members {MEMBERS}, tags {TAGS}, {META}"
 #: An element of a snapshot or change file; what its type lacks is null.
 ELEMENT = f"pos bigint, action string, elem_type string, id bigint, lat_e7 bigint, lon_e7 bigint, nodes array<bigint>, members {MEMBERS}, tags {TAGS}, {META}, bbox {BOX}"
 
+# The types of elements and the actions of change rows.
 ELEMENT_TYPES = ("node", "way", "relation")
 ACTIONS = ("create", "modify", "delete")
 

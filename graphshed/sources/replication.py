@@ -16,6 +16,7 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 from graphshed.model import ELEMENT
 from graphshed.sources.xml import ElementReader, _File
 
+# How often an address is tried, and the seconds between.
 TRIES, PAUSE = 5, 1.0
 
 
