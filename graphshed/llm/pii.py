@@ -20,6 +20,7 @@ from graphshed.llm import spans as S
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 
+# The patterns of the kinds that a contract defines.
 # Runs are only entered at their first character or where the last match ended:
 # an entry further in can't be leftmost, and long runs stay linear. Possessive
 # groups don't recurse on long matches.

@@ -35,6 +35,7 @@ def _either_case(word: str) -> str:
 
 _NAMES = "|".join(_either_case(w) for w in ("password", "passwd", "secret", "token", "api_?key"))
 ASSIGN = rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+# The patterns of the kinds that a contract defines.
 # A shorter run can't hold a long enough one, so the least length stands in the pattern.
 ACCESS = "AKIA[A-Z0-9]{16,}"
 HEX = "[0-9a-f]{24,}"
