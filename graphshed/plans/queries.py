@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,7 @@ from graphshed.model import BOX, MEMBERS, TAGS, Store, of_type
 from graphshed.operators import bbox, graph, polyfilter
 from graphshed.operators import store as ops
 from graphshed.plans import testmap as T
-from graphshed.plans.lineage import cut
+from graphshed.plans.lineage import cut, fresh_folder
 from graphshed.sinks import files
 from graphshed.sources import poly, relation_json, replication, xml
 from graphshed.streaming import replicate
@@ -496,7 +495,7 @@ def split_summary(t):
 
 def _numbered(t: T.Tables) -> tuple[str, replicate.Snapshots]:
     """The change file as four numbered ones in a folder with a state, and a fresh store beside it."""
-    top = tempfile.mkdtemp(prefix="graphshed-")
+    top = fresh_folder(t.spark, "stream")
     rows = cut(T.changes(t).withColumns({**no_meta(), "tags": F.lit(None).cast(TAGS)}))
     half = t["events"].count() // 2
     ends = [half, T.WAY_POS, T.LATE_POS, 1 << 62]
