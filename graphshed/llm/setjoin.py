@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphshed.llm import bloom, components
-from graphshed.llm.common import cut, each, fresh_dir
+from graphshed.llm.common import cut, each, fresh_dir, remove
 from graphshed.llm.hashing import LOWER, WordHashes, shingles
 
 #: Buckets in which shingles are counted, to put frequent ones last in every set.
@@ -499,6 +499,8 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "doc_
     rows = indexed.select("id", "n", "class").join(cut(roots.select(F.col("node").alias("class"), "root")), "class", "left").withColumn("root", F.coalesce("root", "class")).select("id", "n", "root")
     least = cut(rows.where("root is not null").groupBy("root").agg(F.min("id").alias("least")))
     out = rows.join(least, "root", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"))
+    out = cut(out)
+    remove(spark, folder)
     return out
 
 
@@ -511,7 +513,7 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     id and text one stays.
     """
     spark = docs.sparkSession
-    found = cut(join(docs, words, percent, id_col, text_col).select(F.col(id_col).alias("id"), "component_id"))
+    found = join(docs, words, percent, id_col, text_col).select(F.col(id_col).alias("id"), "component_id")
     gone = found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select("id")
     several = found.groupBy("id").count().where("count > 1").select("id")
     unsure = spark.sparkContext.broadcast(bloom.build(gone.unionAll(several), "id"))
