@@ -80,14 +80,14 @@ def _tail(z: Column) -> Column:
     return 1 / (1 + F.exp(F.least(F.lit(600.0), 1.5976 * z + 0.070566 * z * z * z)))
 
 
-def p_value(symbols: Column, alphabet: str) -> Column:
+def p_value(symbols: Column, alphabet: Column) -> Column:
     """Bonferroni's p-value of three tests that an array of symbols is random over the alphabet."""
-    k, n = len(alphabet), F.size(symbols)
+    k, n = F.length(alphabet), F.size(symbols)
     squares = F.aggregate(F.array_distinct(symbols), F.lit(0), lambda a, c: a + F.pow(F.size(F.filter(symbols, lambda x: x == c)), F.lit(2)).cast("int"))
     chi = F.greatest(k * squares / n - n, F.lit(0.0))
     spread = 2 / (9 * (k - 1))
-    uniform = _tail((F.pow(chi / (k - 1), F.lit(1 / 3)) - (1 - spread)) / spread**0.5)
-    ranks = F.transform(symbols, lambda c: F.instr(F.lit(alphabet), c) - 1)
+    uniform = _tail((F.pow(chi / (k - 1), F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread))
+    ranks = F.transform(symbols, lambda c: F.instr(alphabet, c) - 1)
     pairs = F.zip_with(F.slice(ranks, 1, n - 1), F.slice(ranks, F.lit(2), n - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     changes = F.aggregate(pairs, F.lit(0), lambda so_far, x: so_far + ((x["a"] * 2 >= k) != (x["b"] * 2 >= k)).cast("int"))
     runs = 2 * _tail(F.abs(changes - (n - 1) / 2) / F.sqrt((n - 1) / 4))
@@ -99,21 +99,25 @@ def p_value(symbols: Column, alphabet: str) -> Column:
 
 def candidates(text: Column) -> Column:
     """Long tokens of an inferred encoding: span, encoding, length class and p-value step."""
-    found = F.filter(S.find(text, "random", TOKEN), lambda s: encoding(s["match"]).isNotNull())
 
-    def tested(s: Column) -> Column:
+    def spelled(s: Column) -> Column:
         kind = encoding(s["match"])
+        alphabet = F.create_map(*(F.lit(x) for pair in ALPHABETS.items() for x in pair))[kind]
         plain = F.regexp_replace(F.translate(s["match"], "-_", "+/"), "=", "")
         symbols = F.filter(F.split(F.when(kind == "hex", F.lower(plain)).otherwise(plain), ""), lambda c: c != "")
-        p = F.when(kind == "hex", p_value(symbols, HEX_DIGITS)).when(kind == "base32", p_value(symbols, BASE32)).otherwise(p_value(symbols, BASE64))
-        least = F.when(kind == "base64", LEAST["base64"]).otherwise(LEAST["hex"])
+        return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["match"].alias("match"), kind.alias("encoding"), alphabet.alias("alphabet"), symbols.alias("symbols"))
+
+    def tested(s: Column) -> Column:
+        least = F.when(s["encoding"] == "base64", LEAST["base64"]).otherwise(LEAST["hex"])
+        p = p_value(s["symbols"], s["alphabet"])
         return F.struct(
-            s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["match"].alias("match"), kind.alias("encoding"),
-            F.floor(F.log2(F.length(s["match"]).cast("double"))).cast("int").alias("class"), (F.size(symbols) >= least).alias("enough"),
+            s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["match"].alias("match"), s["encoding"].alias("encoding"),
+            F.floor(F.log2(F.length(s["match"]).cast("double"))).cast("int").alias("class"), (F.size(s["symbols"]) >= least).alias("enough"),
             F.least(F.lit(MOST_STEPS), F.floor(-F.log10(F.greatest(p, F.lit(1e-300))) * STEPS)).cast("int").alias("step"),
         )
 
-    return F.transform(found, tested)
+    known = F.filter(F.transform(S.find(text, "random", TOKEN), spelled), lambda s: s["encoding"].isNotNull())
+    return F.transform(known, tested)
 
 
 def limits(found: DataFrame, rate: float = RATE) -> dict[tuple[str, int], int]:
