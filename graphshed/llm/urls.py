@@ -9,9 +9,10 @@ if the smoothed share of blocked pages among its labelled pages reaches
 ``purity``. Labelled pages are those that a list rule decides.
 
 Everything up to the merging works on counts of (host, path shape) summed
-before the shuffle. A host's tree is merged in one task only if it has at most
-``most_templates`` templates; larger hosts keep their templates unmerged, each
-judged by itself.
+before the shuffle. A branch of at most ``in_one_task`` templates is merged in
+one task; of a larger one a task merges the children of its root only, from
+counts by child and next segment, and each merged child is a branch of its
+own. Both ways give the same templates, so the number only deals out the work.
 
 Defined results: null urls and urls without ``://`` have empty host and path
 and are judged like any other; repeated rows get equal rows; an empty table
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -31,7 +33,9 @@ from graphshed.llm.common import cut
 
 BLOCK, ALLOW = "block", "allow"
 
-MOST_CHILDREN, MOST_TEMPLATES, MOST_DEPTH = 32, 2000, 8
+MOST_CHILDREN, MOST_DEPTH = 32, 8
+#: Templates of a branch that one task merges; larger ones are merged level by level.
+IN_ONE_TASK = 2000
 #: Blocked share from which a template is blocked; pseudo-counts of blocked and allowed pages.
 PURITY, PSEUDO_BLOCKED, PSEUDO_ALLOWED = 0.8, 0.5, 1.5
 #: Significance at which two branches are told apart.
@@ -123,10 +127,11 @@ class Node:
         self.children: dict[str, Node] = {}
         self.n = self.blocked = self.allowed = 0
         self.ends: list[str] = []  # templates that end here
+        self.names: list[str] = []  # of the siblings merged into this one, its own first
 
-    def add(self, template: str, n: int, blocked: int, allowed: int) -> None:
+    def add(self, segments: list[str], template: str, n: int, blocked: int, allowed: int) -> None:
         node = self
-        for segment in [None, *filter(None, template.split("/"))]:
+        for segment in [None, *segments]:
             if segment is not None:
                 node = node.children.setdefault(segment, Node())
             node.n, node.blocked, node.allowed = node.n + n, node.blocked + blocked, node.allowed + allowed
@@ -147,17 +152,22 @@ class Node:
             else:
                 self.children[name] = child
 
-    def merge(self) -> None:
-        """Merges similar children, from the largest on, then goes down."""
-        kept: list[tuple[list[str], Node]] = []
+    def merge_children(self) -> None:
+        """Merges similar children, from the largest on, and keeps each under the name of its largest."""
+        kept: list[Node] = []
         for name, child in sorted(self.children.items(), key=lambda x: (-x[1].n, x[0])):
-            like = next((k for k in kept if similar(k[1], child)), None)
+            like = next((k for k in kept if similar(k, child)), None)
             if like is None:
-                kept.append(([name], child))
+                child.names = [name]
+                kept.append(child)
             else:
-                like[0].append(name)
-                like[1].absorb(child)
-        self.children = {"|".join(names): child for names, child in kept}
+                like.names.append(name)
+                like.absorb(child)
+        self.children = {child.names[0]: child for child in kept}
+
+    def merge(self) -> None:
+        """Merges similar children, then goes down."""
+        self.merge_children()
         for child in self.children.values():
             child.merge()
 
@@ -165,8 +175,8 @@ class Node:
         """(merged template, the templates that end in it)"""
         if self.ends:
             yield above or "/", self.ends
-        for name, child in self.children.items():
-            yield from child.templates(f"{above}/{name}")
+        for child in self.children.values():
+            yield from child.templates(f"{above}/{'|'.join(child.names)}")
 
 
 def g_test(a: dict[str, int], b: dict[str, int]) -> float:
@@ -201,22 +211,78 @@ def purity(blocked: int, allowed: int) -> float:
 VERDICTS = "host string, template string, merged string, share double"
 
 
-def merge_host(rows: pd.DataFrame) -> pd.DataFrame:
-    """A host's templates with the merged template that each belongs to and its smoothed purity."""
+def merge_branch(rows: pd.DataFrame) -> pd.DataFrame:
+    """A branch's templates with the merged template that each belongs to and its smoothed purity."""
     root = Node()
     for r in rows.sort_values("template").itertuples():
-        root.add(r.template, r.n, r.blocked, r.allowed)
+        root.add(list(r.left), r.template, r.n, r.blocked, r.allowed)
     root.merge()
     found = []
     counts = {r.template: (r.blocked, r.allowed) for r in rows.itertuples()}
-    for merged, ends in root.templates():
+    for merged, ends in root.templates(rows.shown.iloc[0]):
         share = purity(*map(sum, zip(*(counts[t] for t in ends))))
         found += [(rows.host.iloc[0], t, merged, share) for t in ends]
     return pd.DataFrame(found, columns=["host", "template", "merged", "share"])
 
 
-def judge(pages: DataFrame, listed: list[Rule], most_children: int = MOST_CHILDREN, most_templates: int = MOST_TEMPLATES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """(id, host, path, rule, verdict, template, share) of every page."""
+MERGED_CHILDREN = "host string, node string, child string, largest string, names string"
+
+
+def merge_siblings(rows: pd.DataFrame) -> pd.DataFrame:
+    """The children of a node, from counts by child and next segment, with the name of the largest of those each is merged with and all their names."""
+    root = Node()
+    for r in rows.itertuples():
+        root.add([r.child, r.next] if r.next else [r.child], "", r.n, r.blocked, r.allowed)
+    root.merge_children()
+    found = [(name, child.names[0], "|".join(child.names)) for child in root.children.values() for name in child.names]
+    return pd.DataFrame([(rows.host.iloc[0], rows.node.iloc[0], *x) for x in found], columns=["host", "node", "child", "largest", "names"])
+
+
+def merged(templates: DataFrame, in_one_task: int = IN_ONE_TASK) -> DataFrame:
+    """(host, template, merged, share) of every template.
+
+    ``node`` and ``shown`` are the path of the branch that a template is in, by
+    the largest names and by all names; ``left`` is what follows. A round ends
+    the branches that fit a task and takes the others down by one level.
+    """
+    at, counts = ["host", "node"], ("n", "blocked", "allowed")
+    rest = templates.withColumns({"node": F.lit(""), "shown": F.lit(""), "left": F.filter(F.split("template", "/"), lambda s: s != "")})
+    done: list[DataFrame] = []
+    while True:
+        large = cut(rest.groupBy(*at).count().where(F.col("count") > in_one_task).select(*at))
+        done.append(rest.join(large, at, "left_anti").groupBy(*at).applyInPandas(merge_branch, VERDICTS))
+        if large.isEmpty():
+            break
+        here = cut(rest.join(large, at, "left_semi"))
+        ended = here.where(F.size("left") == 0)
+        pure = ended.groupBy(*at).agg(_share(F.sum("blocked"), F.sum("allowed")).alias("share"))
+        done.append(ended.join(pure, at).select("host", "template", F.when(F.col("shown") == "", "/").otherwise(F.col("shown")).alias("merged"), "share"))
+        below = here.where(F.size("left") > 0).withColumns({"child": F.get("left", F.lit(0)), "next": F.coalesce(F.get("left", F.lit(1)), F.lit(""))})
+        branches = below.groupBy(*at, "child", "next").agg(*(F.sum(c).alias(c) for c in counts))
+        siblings = cut(branches.groupBy(*at).applyInPandas(merge_siblings, MERGED_CHILDREN))
+        moved = below.join(siblings, [*at, "child"]).withColumns({"node": F.concat("node", F.lit("/"), "largest"), "shown": F.concat("shown", F.lit("/"), "names"), "left": F.slice("left", 2, F.size("left"))})
+        rest = cut(moved.select(*rest.columns))
+    return reduce(DataFrame.unionByName, done)
+
+
+def _share(blocked: Column, allowed: Column) -> Column:
+    """``purity`` as a column."""
+    return (blocked + PSEUDO_BLOCKED) / (blocked + allowed + PSEUDO_BLOCKED + PSEUDO_ALLOWED)
+
+
+def _some_merged(templates: DataFrame, most_templates: int, in_one_task: int) -> DataFrame:
+    """As ``merged``; hosts of more than ``most_templates`` templates keep theirs."""
+    many = templates.groupBy("host").count().where(F.col("count") > most_templates).select("host")
+    kept = templates.join(many, "host", "left_semi").select("host", "template", F.col("template").alias("merged"), _share(F.col("blocked"), F.col("allowed")).alias("share"))
+    return merged(templates.join(many, "host", "left_anti"), in_one_task).unionByName(kept)
+
+
+def judge(pages: DataFrame, listed: list[Rule], most_children: int = MOST_CHILDREN, most_templates: int | None = None, id_col: str = "page_id", url_col: str = "url", in_one_task: int = IN_ONE_TASK) -> DataFrame:
+    """(id, host, path, rule, verdict, template, share) of every page.
+
+    Hosts of all sizes are merged, unless ``most_templates`` is given: then the
+    templates of a host that has more are judged one by one.
+    """
     url = F.col("url")
     parts = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url")).select("id", host_of(url).alias("host"), path_of(url).alias("path"))
     text, verdict = rule_of(F.col("host"), F.col("path"), listed)
@@ -230,11 +296,8 @@ def judge(pages: DataFrame, listed: list[Rule], most_children: int = MOST_CHILDR
     wide = widened(cut(shapes), most_children)
     sums = [F.sum(c).alias(c) for c in ("n", "blocked", "allowed")]
     templates = cut(wide.groupBy("host", "template").agg(*sums))
-    many = templates.groupBy("host").count().where(F.col("count") > most_templates).select("host")
-    small = templates.join(many, "host", "left_anti").groupBy("host").applyInPandas(merge_host, VERDICTS)
-    share = (F.col("blocked") + PSEUDO_BLOCKED) / (F.col("blocked") + F.col("allowed") + PSEUDO_BLOCKED + PSEUDO_ALLOWED)
-    large = templates.join(many, "host", "left_semi").select("host", "template", F.col("template").alias("merged"), share.alias("share"))
-    verdicts = wide.select("host", "raw", "template").join(cut(small.unionByName(large)), ["host", "template"]).select("host", "raw", "merged", "share")
+    judged = merged(templates, in_one_task) if most_templates is None else _some_merged(templates, most_templates, in_one_task)
+    verdicts = wide.select("host", "raw", "template").join(cut(judged), ["host", "template"]).select("host", "raw", "merged", "share")
     found = parts.drop("segments").join(cut(verdicts), ["host", "raw"], "left")
     decided = F.coalesce("ruled", F.when(F.col("share") >= PURITY, BLOCK).otherwise(ALLOW))
     return found.select(F.col("id").alias(id_col), "host", "path", "rule", decided.alias("verdict"), F.col("merged").alias("template"), "share")

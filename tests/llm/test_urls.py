@@ -68,3 +68,20 @@ def df_col(name):
     from pyspark.sql import functions as F
 
     return F.col(name)
+
+
+def test_large_hosts_are_merged_alike(spark):
+    """A host of more templates than one task merges gets the verdicts of the same tree in one task; a literal name like a merged one stays apart."""
+    listed = urls.rules(("block", "big.com/buy/"), ("block", "big.com/shop/"))
+    pages = [f"http://big.com/{a}/slug{i}" for a in ("buy", "shop", "sell") for i in range(60)]
+    pages += [f"http://big.com/s{i}/t{j}/u{k}" for i in range(13) for j in range(13) for k in range(13)]
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, url string")
+    verdict = {r.page_id: r.verdict for r in urls.judge(df, listed).collect()}
+    assert {verdict[i] for i in range(180)} == {"block"}
+    r = random.Random(9)
+    mixed = [f"http://{r.choice('hij')}.com/" + "/".join(r.choice(["a", "b", "a|b", "c", "7", f"x{r.randrange(50)}"]) for _ in range(r.randrange(5))) for _ in range(600)]
+    df = spark.createDataFrame(list(enumerate(mixed)), "page_id long, url string")
+    listed = urls.rules(("block", "h.com/a"), ("allow", "h.com/b/7"), ("block", "i.com/c/a"))
+    one = sorted(urls.judge(df, listed).collect())
+    two = sorted(urls.judge(df, listed, in_one_task=40).collect())
+    assert [x[:-1] for x in one] == [x[:-1] for x in two] and all(x.share is not None and abs(x.share - y.share) < 1e-12 for x, y in zip(one, two))
