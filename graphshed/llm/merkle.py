@@ -34,8 +34,6 @@ from graphshed.llm.hashing import WordHashes, mix
 SECTION_EVERY, SECTION_MOST = 8, 64
 RUN_EVERY, RUN_MOST = 4, 16
 SKETCH = 64
-#: Texts of fewer code points have each word as a run, as a few runs would tell too little.
-SHORT = 400
 #: Bytes of a node's hash.
 NODE = 16
 
@@ -87,7 +85,7 @@ class Fingerprints:
         self.powers = np.array([pow(_MULTIPLIER, i, 1 << 64) for i in range(RUN_MOST)], np.uint64)
 
     def runs(self, text: str) -> np.ndarray:
-        """Distinct hashes of the runs of words; a run ends with a word whose hash says so, with its paragraph, or at RUN_MOST words. In short texts every word does."""
+        """Distinct hashes of the runs of words; a run ends with a word whose hash says so, with its paragraph, or at RUN_MOST words, in texts of all lengths."""
         ends: list[int] = []
         words: list[bytes] = []
         for paragraph in text.encode().split(b"\n"):
@@ -96,7 +94,7 @@ class Fingerprints:
         if not words:
             return np.empty(0, np.uint64)
         h = self.words.of(words)
-        last = (h >> np.uint64(40)) % np.uint64(RUN_EVERY if len(text) >= SHORT else 1) == 0
+        last = (h >> np.uint64(40)) % np.uint64(RUN_EVERY) == 0
         closing = np.array(ends[:-1], int)
         last[closing[closing > 0] - 1] = True
         last[-1] = True

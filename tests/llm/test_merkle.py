@@ -1,6 +1,7 @@
 """Fingerprints against plain Python."""
 
 import hashlib
+import random
 
 import pytest
 
@@ -50,3 +51,12 @@ def test_edits_are_located():
     assert merkle.differing("\n".join(lines), "\n".join(lines)) == ([], [])
     longer = lines[:50] + ["new"] + lines[50:]
     assert merkle.differing("\n".join(lines), "\n".join(longer)) == ([], [50])
+
+
+def test_lengths_are_compared_alike():
+    """A text and its beginning share as much whatever their lengths."""
+    make, r = merkle.Fingerprints(), random.Random(5)
+    texts = [" ".join("".join(r.choice("abcdefgh") for _ in range(r.randrange(2, 9))) for _ in range(400)) for _ in range(100)]
+    alike = lambda n, m: sum(merkle.likeness(make.of(t[:n]), make.of(t[:m])) for t in texts) / len(texts)
+    assert alike(405, 395) > 0.75 and alike(300, 290) > 0.75
+    assert all(0.55 < alike(n, 2 * n // 3) < 0.7 for n in (450, 390, 900, 600))
