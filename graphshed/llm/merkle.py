@@ -5,12 +5,16 @@ paragraph whose hash says so, so an insertion moves no later section; the root
 hashes the sections. Equal roots mean equal texts; unequal branches lead to
 the paragraphs that differ.
 
-A fingerprint is ``root:count:sketch``: besides the root, the smallest hashes
-of the runs of words the paragraphs fall into, from which the likeness of two
-texts is read without the texts.
-
-Defined results: null text counts as empty, the empty text has a root and an
-empty sketch; two empty texts are alike (1), an empty and another are not (0);
+A fingerprint is the tree, written as ``root:count:section;section...``: of
+each section its hash and ``/paragraph`` for its paragraphs, which are their
+hash followed by those of the runs of words they fall into; ``count`` is the
+number of runs. The likeness of two texts and the paragraphs that differ are
+read from their fingerprints without the texts, by descending into branches
+that aren't in both. A fingerprint grows with its text.
+
+Defined results: null text counts as empty, the empty text has a root and no
+runs; two texts without words are alike (1), one of them and another are not
+(0); texts of the same words in the same runs are alike (1), as equal ones are;
 repeated rows, also of one id, are ordered by their text; rows without id come
 last; the only row of a table is its own next one; an empty table gives an
 empty table; other columns are ignored.
@@ -19,7 +23,8 @@ empty table; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,9 +38,8 @@ from graphshed.llm.hashing import WordHashes, mix
 #: One paragraph in so many ends a section, one word in so many a run; runs and sections are also cut at a length.
 SECTION_EVERY, SECTION_MOST = 8, 64
 RUN_EVERY, RUN_MOST = 4, 16
-SKETCH = 64
-#: Bytes of a node's hash.
-NODE = 16
+#: Bytes of a node's hash, of a run's.
+NODE, RUN = 16, 5
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
@@ -44,10 +48,10 @@ def node(*parts: bytes) -> bytes:
     return hashlib.blake2b(b"".join(parts), digest_size=NODE).digest()
 
 
-def tree(text: str) -> tuple[bytes, list[bytes], list[list[bytes]]]:
+def tree(paragraphs: list[bytes]) -> tuple[bytes, list[bytes], list[list[bytes]]]:
     """(root, section hashes, paragraph hashes of each section)."""
     sections: list[list[bytes]] = [[]]
-    for paragraph in text.encode().split(b"\n"):
+    for paragraph in paragraphs:
         leaf = node(b"\0", paragraph)
         sections[-1].append(leaf)
         if leaf[0] % SECTION_EVERY == 0 or len(sections[-1]) >= SECTION_MOST:
@@ -59,22 +63,39 @@ def tree(text: str) -> tuple[bytes, list[bytes], list[list[bytes]]]:
 
 
 def differing(a: str, b: str) -> tuple[list[int], list[int]]:
-    """Numbers of the paragraphs of either text that the other lacks, found by descending only into branches the other lacks."""
-    (root_a, branch_a, leaf_a), (root_b, branch_b, leaf_b) = tree(a), tree(b)
+    """Numbers of the paragraphs of either text that the other lacks."""
+    make = Fingerprints()
+    return changed(make.of(a), make.of(b))
+
+
+def changed(a: str, b: str) -> tuple[list[int], list[int]]:
+    """Numbers of the paragraphs of either fingerprint's text that the other lacks, found by descending only into branches the other lacks."""
+    (root_a, _, rest_a), (root_b, _, rest_b) = a.split(":"), b.split(":")
     if root_a == root_b:
         return [], []
+    sections_a, sections_b = ([_nodes(section) for section in rest.split(";")] for rest in (rest_a, rest_b))
 
-    def missing(branches, leaves, others, other_leaves):
-        known = set(others)
-        there = {x for h, own in zip(others, other_leaves) if h not in set(branches) for x in own}
+    def missing(own, others):
+        known, here = {branch for branch, *_ in others}, {branch for branch, *_ in own}
+        there = {x for branch, *leaves in others if branch not in here for x in leaves}
         out, at = [], 0
-        for branch, own in zip(branches, leaves):
+        for branch, *leaves in own:
             if branch not in known:
-                out += [at + i for i, x in enumerate(own) if x not in there]
-            at += len(own)
+                out += [at + i for i, x in enumerate(leaves) if x not in there]
+            at += len(leaves)
         return out
 
-    return missing(branch_a, leaf_a, branch_b, leaf_b), missing(branch_b, leaf_b, branch_a, leaf_a)
+    return missing(sections_a, sections_b), missing(sections_b, sections_a)
+
+
+def _nodes(section: str) -> list[str]:
+    """The hash of a written section and those of its paragraphs."""
+    return [part[: 2 * NODE] for part in section.split("/")]
+
+
+def _runs(sections: Iterable[str]) -> list[str]:
+    """The hashes of the runs of written sections, in order."""
+    return [part[i : i + 2 * RUN] for section in sections for part in section.split("/")[1:] for i in range(2 * NODE, len(part), 2 * RUN)]
 
 
 class Fingerprints:
@@ -84,15 +105,15 @@ class Fingerprints:
         self.words = WordHashes()
         self.powers = np.array([pow(_MULTIPLIER, i, 1 << 64) for i in range(RUN_MOST)], np.uint64)
 
-    def runs(self, text: str) -> np.ndarray:
-        """Distinct hashes of the runs of words; a run ends with a word whose hash says so, with its paragraph, or at RUN_MOST words, in texts of all lengths."""
+    def runs(self, paragraphs: list[bytes]) -> tuple[np.ndarray, list[int]]:
+        """(hashes of the runs of words, number of runs up to the end of each paragraph); a run ends with a word whose hash says so, with its paragraph, or at RUN_MOST words, in texts of all lengths."""
         ends: list[int] = []
         words: list[bytes] = []
-        for paragraph in text.encode().split(b"\n"):
+        for paragraph in paragraphs:
             words += paragraph.split()
             ends.append(len(words))
         if not words:
-            return np.empty(0, np.uint64)
+            return np.empty(0, np.uint64), [0] * len(ends)
         h = self.words.of(words)
         last = (h >> np.uint64(40)) % np.uint64(RUN_EVERY) == 0
         closing = np.array(ends[:-1], int)
@@ -105,27 +126,37 @@ class Fingerprints:
             lengths = np.diff(np.concatenate((starts, [len(h)])))
         places = np.arange(len(h)) - np.repeat(starts, lengths)
         sums = np.add.reduceat(mix(h) * self.powers[places], starts)
-        return np.unique(mix(sums))
+        return mix(sums), np.searchsorted(starts, ends).tolist()
 
     def of(self, text: str) -> str:
-        runs = self.runs(text)
-        sketch = (runs[:SKETCH] >> np.uint64(24)).tolist()
-        return f"{tree(text)[0].hex()}:{len(runs)}:{''.join(f'{x:010x}' for x in sketch)}"
+        paragraphs = text.encode().split(b"\n")
+        root, branches, sections = tree(paragraphs)
+        hashes, upto = self.runs(paragraphs)
+        runs = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :RUN].tobytes().hex()
+        cuts = [0, *(2 * RUN * n for n in upto)]
+        written, at = [], 0
+        for branch, leaves in zip(branches, sections):
+            parts = [leaf.hex() + runs[cuts[i] : cuts[i + 1]] for i, leaf in enumerate(leaves, at)]
+            written.append("/".join((branch.hex(), *parts)))
+            at += len(leaves)
+        return f"{root.hex()}:{len(hashes)}:{';'.join(written)}"
 
 
 def likeness(a: str, b: str) -> float:
-    """Estimated share of runs of words in common (exact where both sketches hold all runs); 1 for equal roots."""
-    (root_a, n_a, sketch_a), (root_b, n_b, sketch_b) = a.split(":"), b.split(":")
+    """Share of runs of words in common, each counted as often as it occurs; sections of both are skipped. 1 only for equal roots or the same runs in order."""
+    (root_a, count_a, rest_a), (root_b, count_b, rest_b) = a.split(":"), b.split(":")
     if root_a == root_b:
         return 1.0
-    if n_a == "0" or n_b == "0":
+    n_a, n_b = int(count_a), int(count_b)
+    if not n_a or not n_b:
         return 1.0 if n_a == n_b else 0.0
-    mine = {sketch_a[i : i + 10] for i in range(0, len(sketch_a), 10)}
-    other = {sketch_b[i : i + 10] for i in range(0, len(sketch_b), 10)}
-    union = mine | other
-    if max(int(n_a), int(n_b)) > SKETCH:
-        union = set(sorted(union)[:SKETCH])
-    return len(union & mine & other) / len(union)
+    sections_a, sections_b = rest_a.split(";"), rest_b.split(";")
+    mine, other = Counter(sections_a), Counter(sections_b)
+    runs_a, runs_b = _runs((mine - other).elements()), _runs((other - mine).elements())
+    common = n_a - len(runs_a) + (Counter(runs_a) & Counter(runs_b)).total()
+    if common < max(n_a, n_b):
+        return common / (n_a + n_b - common)
+    return 1.0 if _runs(sections_a) == _runs(sections_b) else n_a / (n_a + 1)
 
 
 def edited(text: str, following: str) -> str:

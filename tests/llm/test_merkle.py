@@ -60,3 +60,19 @@ def test_lengths_are_compared_alike():
     alike = lambda n, m: sum(merkle.likeness(make.of(t[:n]), make.of(t[:m])) for t in texts) / len(texts)
     assert alike(405, 395) > 0.75 and alike(300, 290) > 0.75
     assert all(0.55 < alike(n, 2 * n // 3) < 0.7 for n in (450, 390, 900, 600))
+
+
+def test_likeness_is_exact_at_all_lengths():
+    """One changed word of many is seen, and its paragraph is read from the fingerprints."""
+    make, r = merkle.Fingerprints(), random.Random(6)
+    for n in (60, 1500, 15_000):
+        for _ in range(5):
+            lines = [" ".join(f"w{r.randrange(9999)}" for _ in range(30)) for _ in range(n // 30)]
+            at = r.randrange(len(lines))
+            other = lines[:at] + [lines[at] + " more"] + lines[at + 1 :]
+            a, b = make.of("\n".join(lines)), make.of("\n".join(other))
+            assert 1 - 8 / (n / 16) < merkle.likeness(a, b) < 1
+            assert merkle.changed(a, b) == ([at], [at])
+    text = " ".join(f"w{i}" for i in range(2000))
+    turned = "\n".join(reversed([f"line {i} of it" for i in range(99)])), "\n".join(f"line {i} of it" for i in range(99))
+    assert merkle.likeness(make.of(text), make.of(text)) == 1 > merkle.likeness(*map(make.of, turned)) > 0.9
