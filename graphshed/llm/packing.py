@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -85,17 +86,19 @@ def byte_alphabet() -> dict[str, int]:
 
 
 def encoder(path: str):
-    """The byte-level BPE tokenizer of a tokenizers file, run by tiktoken, which gives the same ids several times faster. One for each worker process."""
+    """The byte-level BPE tokenizer of a tokenizers file, run by tiktoken, which gives the same ids several times faster; its special tokens are the file's added ones. One for each worker process."""
     if path not in _encoders:
         import public_tokenizers
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        special = {t["content"] for t in spec.get("added_tokens", [])}
+        special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        if any(t.get(k) for t in spec.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("added tokens that depend on what is around them aren't supported")
         alphabet = byte_alphabet()
         ranks = {bytes(alphabet[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
-        _encoders[path] = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        _encoders[path] = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
     return _encoders[path]
 
 
@@ -105,13 +108,14 @@ def cut_points(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, capacity) for s in range(first, n, capacity)]
 
 
-def tokenise(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """(id, piece, start, length, ids_crc32[, ids]) of every piece of every document."""
+def tokenise(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, added_tokens: bool = False) -> DataFrame:
+    """(id, piece, start, length, ids_crc32[, ids]) of every piece of every document. With ``added_tokens`` the file's added tokens have their own ids in texts, as in the tokenizers library by default; else they are ordinary text."""
     slim = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     id_type = slim.schema["id"].dataType.simpleString()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode_ordinary
+        made = encoder(tokenizer)
+        encode = partial(made.encode, allowed_special="all", disallowed_special=()) if added_tokens else made.encode_ordinary
         for batch in batches:
             rows: list[tuple] = []
             origin: list[int] = []
@@ -158,6 +162,6 @@ def pack(pieces: DataFrame, capacity: int = 1024, open_bins: int = 2048, id_col:
     return dealt.mapInArrow(place, f"{kinds}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, open_bins: int = 2048, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, open_bins: int = 2048, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, added_tokens: bool = False) -> DataFrame:
     """Tokenised, cut and packed documents, a row for each piece."""
-    return pack(tokenise(docs, tokenizer, capacity, end_id, id_col, text_col, with_ids), capacity, open_bins, id_col)
+    return pack(tokenise(docs, tokenizer, capacity, end_id, id_col, text_col, with_ids, added_tokens), capacity, open_bins, id_col)

@@ -21,7 +21,7 @@ def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path(), capacity=1024, end_id=2)
+    return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path(), capacity=1024, end_id=2, added_tokens=True)
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -77,3 +77,15 @@ def test_repeats_give_the_same_places(spark):
 
 def test_empty(spark):
     assert packing.pack_documents(spark.createDataFrame([], "doc_id long, text string").withColumn("piece", F.lit(1)), PATH).count() == 0
+
+
+def test_queries_give_added_tokens_their_ids(spark, tmp_path):
+    from graphshed.llm import queries
+
+    texts = TEXTS + ["a <|endoftext|> b", "<|endoftext|><|endoftext|>  x\n <|endoftext|> ", "<|endoftext"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer = Tokenizer.from_file(PATH)
+    got = {(x.doc_id, x.start, x.length): x.ids_crc32 for x in queries.op2_best_fit_packing(spark, str(tmp_path)).collect()}
+    want = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    assert want[len(TEXTS)] == [64, 220, 50256, 275, 2]
+    assert got == {(i, s, n): zlib.crc32(np.array(ids[s : s + n], "<u4").tobytes()) for i, ids in enumerate(want) for s, n in packing.cut_points(len(ids), 1024)}
