@@ -30,6 +30,10 @@ IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IBAN = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?"
+#: Where an account number may begin: not within a longer run of letters and digits.
+IBAN_START = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]{4}){2})"
+#: Characters of the longest match of IBAN and the one after it.
+IBAN_WINDOW = 44
 
 _UP_TO_255 = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
@@ -86,14 +90,32 @@ def _scored(text: Column, kind: str, found: Column) -> Column:
     return F.transform(found, add)
 
 
+def account_numbers(text: Column) -> Column:
+    """Confirmed account numbers: from every beginning the longest one that passes, of those that end where no letter or digit follows.
+
+    The pattern takes following words in, so all its ends before a space are
+    tried. Of overlapping numbers the first is kept.
+    """
+    begun = F.transform(S.find(text, "iban", IBAN_START), lambda s: F.struct(s["start"].alias("start"), F.substr(text, s["start"] + 1, F.lit(IBAN_WINDOW)).alias("window")))
+    widest = F.transform(begun, lambda x: F.struct(x["start"].alias("start"), x["window"].alias("window"), F.split(F.regexp_extract(x["window"], "^" + IBAN, 0), " ").alias("groups")))
+
+    def ends(x: Column) -> Column:
+        tried = F.transform(F.sequence(F.size(x["groups"]), F.lit(1)), lambda n: F.array_join(F.slice(x["groups"], 1, n), " "))
+        spans = F.transform(tried, lambda m: F.struct(F.lit("iban").alias("kind"), x["start"].alias("start"), (x["start"] + F.length(m)).alias("stop"), m.alias("match")))
+        whole = lambda s: s["match"].rlike(f"^{IBAN}$") & ~F.substr(x["window"], F.length(s["match"]) + 1, F.lit(1)).rlike("[A-Za-z0-9]")
+        return F.get(F.filter(F.filter(spans, whole), passes), F.lit(0))
+
+    found = F.filter(F.transform(widest, ends), lambda s: s.isNotNull())
+    last = lambda kept: F.coalesce(F.get(kept, F.size(kept) - 1)["stop"], F.lit(0))
+    return F.aggregate(found, S.none(), lambda kept, s: F.when(s["start"] < last(kept), kept).otherwise(F.concat(kept, F.array(s))))
+
+
 def find(text: Column, kind: str) -> Column:
     """Confirmed and scored spans of a kind in a text; texts without a character that the kind needs aren't searched."""
-    pattern, needed = {"email": (EMAIL, "@"), "ip": (IP, "."), "card": (CARD, None), "phone": (PHONE, "+"), "iban": (IBAN, None)}[kind]
-    found = S.find(text, kind, pattern)
     if kind == "iban":
-        # Not a part of a longer run of letters and digits.
-        around = lambda s: F.concat(F.substr(text, F.greatest(s["start"], F.lit(1)), F.least(s["start"], F.lit(1))), F.lit(" "), F.substr(text, s["stop"] + 1, F.lit(1)))
-        found = F.filter(found, lambda s: ~around(s).rlike("[A-Za-z0-9]"))
+        return _scored(text, kind, account_numbers(text))
+    pattern, needed = {"email": (EMAIL, "@"), "ip": (IP, "."), "card": (CARD, None), "phone": (PHONE, "+")}[kind]
+    found = S.find(text, kind, pattern)
     if needed:
         found = F.when(F.contains(text, F.lit(needed)), found).otherwise(S.none())
     return _scored(text, kind, F.filter(found, passes))

@@ -73,3 +73,15 @@ def test_empty_table(spark):
     assert pii.digest(pii.detect(empty)).count() == 0
     assert secrets.digest(secrets.detect(empty)).count() == 0
     assert pii.redact(empty).count() == 0
+
+
+def test_account_numbers_before_words(spark):
+    """What follows or precedes an account number does not hide it."""
+    es, be, de = "ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "DE89 3704 0044 0532 0130 00"
+    texts = [f"{es} BIC CAIXESBB", f"{be} BIC", f"{be} SWIFT", f"{be} TELEFON", f"{be} 2024 1", f"{es} {de}", f"{be} {es} {be}", f"{be.replace(' ', '')} VISA", f"AB12 CDEF 3456 {be} x", f"{de} Konto", f"x{be} BIC", f"{be}7 BIC", f"é🙂 {es} TEL"]
+    want = [[es], [be], [be], [be], [be], [es, de], [be, es, be], [be.replace(" ", "")], [be], [de], [], [], [es]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [(s.match, s.start, s.stop) for s in r.spans if s.kind == "iban"] for r in pii.detect(df).collect()}
+    for i, text in enumerate(texts):
+        assert [m for m, *_ in found[i]] == want[i] and all(text[a:b] == m for m, a, b in found[i]), text
+    assert pii.redact(df).where("doc_id = 0").first().text == "[iban] BIC CAIXESBB"
