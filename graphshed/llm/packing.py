@@ -18,6 +18,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,9 @@ from graphshed.llm.common import each
 #: Bits of a sequence id below the number of the partition that made it.
 SEQUENCE_BITS = 36
 
+#: Texts that a task remembers to number its repeated rows; beyond them numbers begin anew, which moves pieces between tasks only.
+COPIES_MOST = 1_000_000
+
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
@@ -108,19 +112,34 @@ def cut_points(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, capacity) for s in range(first, n, capacity)]
 
 
-def tokenise(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, added_tokens: bool = False) -> DataFrame:
-    """(id, piece, start, length, ids_crc32[, ids]) of every piece of every document. With ``added_tokens`` the file's added tokens have their own ids in texts, as in the tokenizers library by default; else they are ordinary text."""
+class Copies(dict):
+    """Numbers the rows of one id and text that a task meets: 0, 1, and so on, whatever the order of its rows."""
+
+    def number(self, key, text: str) -> int:
+        at = xxhash.xxh3_64_intdigest(f"{key}\0{text}".encode("utf-8", "replace"))
+        if len(self) >= COPIES_MOST and at not in self:
+            self.clear()
+        found = self[at] = self.get(at, -1) + 1
+        return found
+
+
+def tokenise(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, added_tokens: bool = False, copies: bool = False) -> DataFrame:
+    """(id, piece, start, length, ids_crc32[, ids][, _copy]) of every piece of every document. With ``added_tokens`` the file's added tokens have their own ids in texts, as in the tokenizers library by default; else they are ordinary text. With ``copies`` repeated rows are numbered, so that ``pack`` can deal them out."""
     slim = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     id_type = slim.schema["id"].dataType.simpleString()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = encoder(tokenizer)
         encode = partial(made.encode, allowed_special="all", disallowed_special=()) if added_tokens else made.encode_ordinary
+        met = Copies()
         for batch in batches:
             rows: list[tuple] = []
             origin: list[int] = []
             kept: list[np.ndarray] = []
+            numbers = []
+            keys = batch.column(0).to_pylist()
             for i, text in enumerate(each(batch.column(1))):
+                numbers.append(met.number(keys[i], text) if copies else 0)
                 ids = np.array([*encode(text), end_id], "<u4")
                 for k, (start, length) in enumerate(cut_points(len(ids), capacity)):
                     part = ids[start : start + length]
@@ -134,19 +153,24 @@ def tokenise(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int
             if with_ids:
                 arrays.append(pa.array([k.astype("<i4") for k in kept], pa.list_(pa.int32())))
                 names.append("ids")
+            if copies:
+                arrays.append(pa.array(numbers, pa.int32()).take(pa.array(origin, pa.int32())))
+                names.append("_copy")
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return slim.mapInArrow(pieces, f"id {id_type}, {PIECES}" + ", ids array<int>" * with_ids).withColumnRenamed("id", id_col)
+    return slim.mapInArrow(pieces, f"id {id_type}, {PIECES}" + ", ids array<int>" * with_ids + ", _copy int" * copies).withColumnRenamed("id", id_col)
 
 
 def pack(pieces: DataFrame, capacity: int = 1024, open_bins: int = 2048, id_col: str = "doc_id") -> DataFrame:
     """The pieces with sequence_id and offset.
 
     Each partition packs its share by itself; partitions are dealt by a hash of
-    the piece and read in the order of that hash. Memory: the open bins.
+    the piece (with the number of a repeated row, where ``_copy`` has it) and
+    read in the order of that hash. Memory: the open bins.
     """
-    order = F.xxhash64(F.col(id_col), F.col("piece"), F.lit(17))
-    dealt = pieces.withColumn("_order", order).repartition("_order").sortWithinPartitions("_order", id_col, "piece", "ids_crc32").drop("_order")
+    copy = F.col("_copy") if "_copy" in pieces.columns else F.lit(0)
+    order = F.xxhash64(F.col(id_col), F.col("piece"), F.col("ids_crc32"), copy, F.lit(17))
+    dealt = pieces.withColumn("_order", order).repartition("_order").sortWithinPartitions("_order", id_col, "piece", "ids_crc32").drop("_order", "_copy")
     at = dealt.columns.index("length")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,4 +188,4 @@ def pack(pieces: DataFrame, capacity: int = 1024, open_bins: int = 2048, id_col:
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, open_bins: int = 2048, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, added_tokens: bool = False) -> DataFrame:
     """Tokenised, cut and packed documents, a row for each piece."""
-    return pack(tokenise(docs, tokenizer, capacity, end_id, id_col, text_col, with_ids, added_tokens), capacity, open_bins, id_col)
+    return pack(tokenise(docs, tokenizer, capacity, end_id, id_col, text_col, with_ids, added_tokens, copies=True), capacity, open_bins, id_col)

@@ -15,8 +15,8 @@ TEXTS = [None, "", " ", "Hello, world's don't  \n\n tabs\t\u00a0x", "Ça été 
 
 
 def ids_of(texts):
+    """As the contract has it: added tokens in texts are themselves."""
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
 
 
@@ -24,7 +24,7 @@ def test_pieces_and_places(spark):
     r = random.Random(4)
     texts = TEXTS + [" ".join(f"w{r.randrange(999)}" for _ in range(r.randrange(1, 900))) for _ in range(150)]
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)] + [(3, texts[3], "x"), (None, "no id", "x")], "doc_id long, text string, length string")
-    rows = packing.pack_documents(df, PATH, with_ids=True).collect()
+    rows = packing.pack_documents(df, PATH, with_ids=True, added_tokens=True).collect()
     want = {i: ids for i, ids in enumerate(ids_of(texts))} | {None: ids_of(["no id"])[0]}
     pieces, places = {}, {}
     for x in rows:
@@ -89,3 +89,16 @@ def test_queries_give_added_tokens_their_ids(spark, tmp_path):
     want = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
     assert want[len(TEXTS)] == [64, 220, 50256, 275, 2]
     assert got == {(i, s, n): zlib.crc32(np.array(ids[s : s + n], "<u4").tobytes()) for i, ids in enumerate(want) for s, n in packing.cut_points(len(ids), 1024)}
+
+
+def test_repeated_rows_are_dealt_out(spark):
+    """A third of all rows repeat one id and text: they go to all tasks, and none is lost."""
+    df = spark.createDataFrame([(-1 if i % 3 == 0 else i, "the same text" if i % 3 == 0 else f"text {i}") for i in range(3000)], "doc_id long, text string").coalesce(1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = packing.pack_documents(df, PATH).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(rows) == 3000
+    shares = [sum(x.doc_id == -1 and x.sequence_id >> packing.SEQUENCE_BITS == part for x in rows) for part in range(4)]
+    assert sum(shares) == 1000 and max(shares) < 400
