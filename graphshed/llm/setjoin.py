@@ -379,15 +379,21 @@ def texts_of(slim: DataFrame, wanted: DataFrame, measure: Measure) -> DataFrame:
     """(class, data): the packed text of one row of each wanted class (class, id).
 
     Rows are picked by a Bloom filter of the ids before their texts are looked
-    at; what it lets through too many is dropped by the join.
+    at, or by a join, if there are too many for a filter; what is let through
+    too many is dropped by the join with the classes.
     """
-    bits = slim.sparkSession.sparkContext.broadcast(bloom.build(wanted, "id"))
-    probed = slim.select("text", bloom.probes("id").alias("probes"))
+    bits = bloom.bits_for(wanted.count())
+    if bits is None:
+        words = None
+        probed = slim.join(wanted.select(F.struct("id").alias("key")), F.struct("id") == F.col("key"), "left_semi").select("text", F.array().cast("array<long>").alias("probes"))
+    else:
+        words = slim.sparkSession.sparkContext.broadcast(bloom.build(wanted, "id", bits))
+        probed = slim.select("text", bloom.probes("id", bits).alias("probes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, packer = Sets(measure), zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            texts = batch.column(0).filter(pa.array(bloom.passing(bits.value, batch.column(1))))
+            texts = batch.column(0) if words is None else batch.column(0).filter(pa.array(bloom.passing(words.value, batch.column(1))))
             rows = [(class_of(tokens), packer.compress(t.encode())) for t in each(texts) if len(tokens := sets.of(t))]
             if rows:
                 number, data = zip(*rows)
@@ -508,28 +514,36 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     """The documents with all their columns, of each component only the one with the smallest id.
 
     Most rows pass a Bloom filter of the ids that go, without a shuffle; the
-    others, and rows of ids that occur more than once, are decided by a join.
-    Rows without id stay if no row of their component has one; of rows with one
-    id and text one stays.
+    others, and rows of ids that occur more than once, are decided by a join,
+    as all rows are if there are too many such ids for a filter. Rows without
+    id stay if no row of their component has one; of rows with one id and text
+    one stays.
     """
     spark = docs.sparkSession
     found = join(docs, words, percent, id_col, text_col).select(F.col(id_col).alias("id"), "component_id")
     gone = found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select("id")
     several = found.groupBy("id").count().where("count > 1").select("id")
-    unsure = spark.sparkContext.broadcast(bloom.build(gone.unionAll(several), "id"))
+    unsure = cut(gone.unionAll(several).distinct())
+    bits = bloom.bits_for(unsure.count())
     columns = docs.columns
-    probed = docs.withColumn("_probes", bloom.probes(id_col))
+    kept = found.where(F.col("id").eqNullSafe(F.col("component_id")) | (F.col("id").isNull() & F.col("component_id").isNull())).select(F.struct("id").alias("_key")).distinct()
+
+    def one(rows: DataFrame) -> DataFrame:
+        # In a struct a null id is equal to itself, and the name can't clash.
+        keyed = rows.withColumn("_key", F.struct(F.col(id_col).alias("id")))
+        return keyed.join(cut(kept), "_key", "left_semi").withColumn("_text", F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))).dropDuplicates(["_key", "_text"]).select(*columns)
+
+    if bits is None:
+        return one(docs)
+    sent = spark.sparkContext.broadcast(bloom.build(unsure, "id", bits))
+    probed = docs.withColumn("_probes", bloom.probes(id_col, bits))
 
     def rows(which: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                mask = bloom.passing(unsure.value, batch.column(len(columns))) == which
+                mask = bloom.passing(sent.value, batch.column(len(columns))) == which
                 yield batch.select(range(len(columns))).filter(pa.array(mask))
 
         return probed.mapInArrow(run, docs.schema)
 
-    kept = found.where(F.col("id").eqNullSafe(F.col("component_id")) | (F.col("id").isNull() & F.col("component_id").isNull())).select(F.struct("id").alias("_key")).distinct()
-    # In a struct a null id is equal to itself, and the name can't clash.
-    doubtful = rows(True).withColumn("_key", F.struct(F.col(id_col).alias("id")))
-    one = doubtful.join(cut(kept), "_key", "left_semi").withColumn("_text", F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))).dropDuplicates(["_key", "_text"])
-    return rows(False).unionByName(one.select(*columns))
+    return rows(False).unionByName(one(rows(True)))

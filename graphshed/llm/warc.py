@@ -20,12 +20,15 @@ import urllib.parse
 import uuid
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphshed.llm.common import each, fresh_dir
+from graphshed.llm import bloom
+from graphshed.llm.common import cut, each, fresh_dir
 
 CHUNK = 1 << 16
 #: Plain bytes after which a task begins another archive.
@@ -52,10 +55,10 @@ def page_of(urn: str | None) -> str | None:
     return None if found == "none" else found
 
 
-def record(page_id, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
-    """A response or revisit record in plain bytes. A revisit keeps the HTTP headers, with the length of the payload it leaves out."""
-    digest = bare_digest(hashlib.sha1(payload).digest())
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+def record(page_id, url: str | None, payload: bytes | None, size: int, sha1: bytes, refers_to: int | None = None) -> bytes:
+    """A response or, without a payload, a revisit record in plain bytes. A revisit keeps the HTTP headers, with the length of the payload it leaves out."""
+    digest, revisit = bare_digest(sha1), payload is None
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http if revisit else http + payload
     head = [
         "WARC/1.1",
@@ -170,58 +173,133 @@ class _Member:
         return part
 
 
-def first_of_equal(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """(page_id, url, payload, refers_to, revisit): refers_to is the smallest id of the rows with an equal payload.
+def counted(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
+    """(key, first, n): of every digest the smallest id and the number of rows, by an aggregation summed before the shuffle."""
+    return cut(pages.where(F.octet_length("payload") >= least_bytes).groupBy("key").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")))
 
-    The smallest id is found by a summed aggregation over digests; the join
-    back has one row for each digest on one side, so Spark can split a hot
-    digest's rows on the other.
-    """
-    keyed = pages.withColumn("key", F.sha2("payload", 256))
-    several = keyed.where(F.octet_length("payload") >= least_bytes).groupBy("key").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "first")
-    # The repartitioning gives the join an exchange of its own on this side, without which a hot digest can't be split.
-    joined = keyed.join(several.repartition("first"), "key", "left")
-    revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return joined.select("page_id", "url", "payload", F.when(revisit, F.col("first")).alias("refers_to"), revisit.alias("revisit"))
 
+@dataclass
+class Filters:
+    """Of the digests that occur more than once; of the rows that are the first of theirs; of the digests that occur once and yet pass the first filter."""
 
-def write(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """Writes the archives and returns their list: (archive, records, bytes)."""
-    spark = pages.sparkSession
-    top = fresh_dir(spark, "warc")
-    payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
-    slim = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"))
-    decided = first_of_equal(slim, least_bytes)
+    bits: int
+    repeated: np.ndarray
+    first: np.ndarray
+    mistaken: np.ndarray | None = None
 
-    def archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @classmethod
+    def of(cls, digests: DataFrame, several: DataFrame) -> Filters | None:
+        """None if there are too many repeated digests."""
+        bits = bloom.bits_for(several.count())
+        if bits is None:
+            return None
+        firsts = several.select(F.struct("key", F.col("first").alias("page_id")).alias("row"))
+        made = cls(bits, bloom.build(several, "key", bits), bloom.build(firsts, "row", bits))
+        sent = digests.sparkSession.sparkContext.broadcast(made.repeated)
+
+        def mistaken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(bloom.passing(sent.value, batch.column(1)))).select([0])
+
+        once = digests.where("n = 1").select("key", bloom.probes("key", bits).alias("probes")).mapInArrow(mistaken, "key string")
+        made.mistaken = bloom.build(once, "key", bits)
+        return made
+
+
+class Archives:
+    """Writes records to archives in a folder; gives out an archive's name, records and bytes when it is finished."""
+
+    def __init__(self, top: str, archive_bytes: int):
         from pyarrow import fs
 
-        place, folder = fs.FileSystem.from_uri(top)
-        place.create_dir(folder, recursive=True)
-        out, name, records, plain, size = None, "", 0, 0, 0
+        self.place, self.folder = fs.FileSystem.from_uri(top)
+        self.place.create_dir(self.folder, recursive=True)
+        self.archive_bytes, self.out = archive_bytes, None
 
-        def finished():
-            out.close()
-            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([records], pa.int64()), pa.array([size], pa.int64())], ["archive", "records", "bytes"])
+    def add(self, data: bytes) -> None:
+        if self.out is None:
+            self.name, self.records, self.plain, self.size = f"{uuid.uuid4().hex}.warc.gz", 0, 0, 0
+            self.out = self.place.open_output_stream(f"{self.folder}/{self.name}", compression=None)
+        packed = member(data)
+        self.out.write(packed)
+        self.records, self.plain, self.size = self.records + 1, self.plain + len(data), self.size + len(packed)
+
+    def finished(self, last: bool = False) -> Iterator[pa.RecordBatch]:
+        """The archive, if it is full or the last one."""
+        if self.out is not None and (last or self.plain >= self.archive_bytes):
+            self.out.close()
+            self.out = None
+            yield pa.RecordBatch.from_arrays([pa.array([self.name]), pa.array([self.records], pa.int64()), pa.array([self.size], pa.int64())], ["archive", "records", "bytes"])
 
-        for batch in batches:
-            for page_id, url, payload, first, revisit in zip(*(each(batch.column(i)) for i in range(5))):
-                if out is None:
-                    name, records, plain, size = f"{uuid.uuid4().hex}.warc.gz", 0, 0, 0
-                    out = place.open_output_stream(f"{folder}/{name}", compression=None)
-                data = record(page_id, url, payload, first, revisit)
-                packed = member(data)
-                out.write(packed)
-                records, plain, size = records + 1, plain + len(data), size + len(packed)
-                if plain >= archive_bytes:
-                    yield finished()
-                    out = None
-        if out is not None:
-            yield finished()
 
+LISTED = "archive string, records long, bytes long"
+
+
+def write(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+    """Writes the archives and returns their list: (archive, records, bytes).
+
+    Pages whose digest occurs once are written where they lie. Only those that
+    a Bloom filter of the repeated digests lets through are joined with these,
+    and of them only the rows that may be a first one carry their payload.
+    """
+    spark = pages.sparkSession
+    top = fresh_dir(spark, "warc")
+    payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
+    slim = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload")).withColumn("key", F.sha2("payload", 256))
+    digests = counted(slim, least_bytes)
+    several = digests.where("n > 1").select("key", "first")
+    filters = Filters.of(digests, several)
+    sent = None if filters is None else spark.sparkContext.broadcast(filters)
+    bits = bloom.LEAST_BITS if filters is None else filters.bits
+    probed = slim.withColumn("row", F.struct("key", "page_id")).withColumns({"k": bloom.probes("key", bits), "r": bloom.probes("row", bits)}).drop("row")
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Archives of the pages whose digest is surely not repeated."""
+        out = Archives(top, archive_bytes)
+        for batch in batches:
+            batch = batch.filter(pa.array(~bloom.passing(sent.value.repeated, batch.column(4))))
+            for page_id, url, payload in zip(*(each(batch.column(i)) for i in range(3))):
+                out.add(record(page_id, url, payload, len(payload), hashlib.sha1(payload).digest()))
+                yield from out.finished()
+        yield from out.finished(last=True)
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The other pages: what their records need, the payload only where it may be that of a response."""
+        for batch in batches:
+            batch = batch.filter(pa.array(bloom.passing(sent.value.repeated, batch.column(4))))
+            may = (bloom.passing(sent.value.first, batch.column(5)) | bloom.passing(sent.value.mistaken, batch.column(4))).tolist()
+            rows = [(page_id, url, key, len(payload), hashlib.sha1(payload).digest(), payload if first or len(payload) < least_bytes else None) for page_id, url, payload, key, first in zip(*(each(batch.column(i)) for i in range(4)), may)]
+            if rows:
+                _, url, key, size, sha1, payload = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(url, pa.string()), pa.array(key, pa.string()), pa.array(size, pa.int64()), pa.array(sha1, pa.binary()), pa.array(payload, pa.binary())],
+                    ["page_id", "url", "key", "n", "sha1", "payload"],
+                )
+
+    def decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Archives(top, archive_bytes)
+        for batch in batches:
+            for page_id, url, payload, size, sha1, first, revisit in zip(*(each(batch.column(i)) for i in range(7))):
+                if payload is None and not revisit:
+                    raise AssertionError("a response came without its payload")
+                out.add(record(page_id, url, None if revisit else payload, size, sha1, first))
+                yield from out.finished()
+        yield from out.finished(last=True)
+
+    kind = slim.schema["page_id"].dataType.simpleString()
+    if sent is None:  # too many repeated digests for a filter: all pages are joined
+        shared = slim.withColumns({"n": F.octet_length("payload").cast("long"), "sha1": F.unhex(F.sha1("payload"))})
+    else:
+        shared = probed.mapInArrow(others, f"page_id {kind}, url string, key string, n long, sha1 binary, payload binary")
+    # The repartitioning gives the join an exchange of its own on this side, without which a hot digest can't be split.
+    joined = shared.join(several.repartition("first"), "key", "left")
+    revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
+    parts = joined.select("page_id", "url", "payload", "n", "sha1", F.when(revisit, F.col("first")).alias("first"), revisit.alias("revisit")).mapInArrow(decided, LISTED)
+    if sent is not None:
+        parts = parts.unionAll(probed.mapInArrow(alone, LISTED))
     listed = f"{top}-list"
-    decided.mapInArrow(archives, "archive string, records long, bytes long").write.parquet(listed)
-    return spark.read.schema("archive string, records long, bytes long").parquet(listed).withColumn("folder", F.lit(top))
+    parts.write.parquet(listed)
+    return spark.read.schema(LISTED).parquet(listed).withColumn("folder", F.lit(top))
 
 
 def read(archives: DataFrame, tasks: int | None = None) -> DataFrame:

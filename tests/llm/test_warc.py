@@ -8,7 +8,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-from graphshed.llm import warc
+from graphshed.llm import bloom, warc
 
 
 def expected(rows, least=0):
@@ -39,20 +39,30 @@ ROWS = [
 ]
 
 
-@pytest.mark.parametrize("least", [0, 1, 10_000])
-def test_round_trip(spark, least):
+@pytest.mark.parametrize("least, bits", [(0, None), (1, None), (10_000, None), (0, 64), (0, 1), (1, 64)])
+def test_round_trip(spark, least, bits, monkeypatch):
+    """Also with filters that let nearly all through, and with too many digests for any."""
+    if bits:
+        monkeypatch.setattr(bloom, "bits_for", lambda n: None if bits == 1 else bits)
     df = spark.createDataFrame(ROWS, "page_id long, url string, html string").withColumn("payload", F.lit("own"))
     found = [tuple(r) for r in warc.round_trip(df, least).collect()]
     key = lambda r: (r[0] is not None, r[0] or 0, r[2])
     assert sorted(found, key=key) == sorted(expected(ROWS, least), key=key)
 
 
+def test_filter_sizes():
+    assert bloom.bits_for(0) == bloom.LEAST_BITS and bloom.bits_for(1 << 20) == 1 << 24
+    assert bloom.bits_for(bloom.MOST_BITS // bloom.FEWEST) == bloom.MOST_BITS and bloom.bits_for(bloom.MOST_BITS) is None
+
+
 def test_empty(spark):
     assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
 def archive():
-    return warc.member(warc.record(1, "http://x", b"abc" * 100_000, None, False)) + warc.member(warc.record(2, "http://y", b"abc" * 100_000, 1, True))
+    body = b"abc" * 100_000
+    sha1 = hashlib.sha1(body).digest()
+    return warc.member(warc.record(1, "http://x", body, len(body), sha1)) + warc.member(warc.record(2, "http://y", None, len(body), sha1, 1))
 
 
 def test_each_record_is_a_member_and_streams():
@@ -75,7 +85,7 @@ def test_damage_is_found():
     data = archive()
     with pytest.raises(warc.Damaged):
         list(warc.Reader(io.BytesIO(data[:-30])))
-    record = warc.record(1, "http://x", b"abcdef", None, False)
+    record = warc.record(1, "http://x", b"abcdef", 6, hashlib.sha1(b"abcdef").digest())
     changed = record.replace(b"abcdef", b"abcdeg")
     assert [good for *_, good in warc.Reader(io.BytesIO(warc.member(changed)))] == [False]
     with pytest.raises(warc.Damaged):
