@@ -18,14 +18,14 @@ preceded by one for capitals, so that both show up as n-grams.
 Defined results: null text counts as empty and has weight 1 (log weight 0);
 repeated rows have equal sums and stay or go together, so more than k rows can
 stay; with no labelled good document all weights are 1 and all rows stay; an
-empty table gives an empty table; a null language is one of its own. ``select``
-passes on all columns.
+empty table gives an empty table; a null language is one of its own. The
+LANGUAGES languages with the most documents have a model each, all others one
+together. ``select`` passes on all columns.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,7 +43,7 @@ BUCKETS = 1 << 14
 TARGET_ROWS = 10_000
 #: Pseudo-count of each bucket that draws the target model to the raw one: rare n-grams, whose counts are those of a few documents, say little.
 PRIOR = 60.0
-#: Languages share so many slots of models, by a hash of their name.
+#: Languages with models of their own, at most: those with the most documents (of equal ones the first by name).
 LANGUAGES = 64
 SEED = 23
 #: Nats by which a document's weight may fall short and it still counts as explained: rather a bad document too many than a good one lost.
@@ -85,14 +85,23 @@ class Features:
 
 @dataclass
 class Weights:
-    """Log ratio of each bucket by language slot, and the labelled share of good documents."""
+    """Log ratio of each bucket by slot, the slots of languages, and the labelled share of good documents."""
 
     ratios: dict[int, np.ndarray]
+    slots: dict[str | None, int]
     share: float
 
+    def of(self, lang: str | None) -> np.ndarray:
+        return self.ratios.get(self.slots.get(lang, LANGUAGES), _NO_RATIOS)
 
-def slot(lang: str | None) -> int:
-    return zlib.crc32((lang or "").encode()) % LANGUAGES
+
+_NO_RATIOS = np.zeros(BUCKETS)
+
+
+def language_slots(texts: DataFrame) -> dict[str | None, int]:
+    """A slot for each of the LANGUAGES languages with the most rows; null is one of them like any other."""
+    most = texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.asc_nulls_first("lang")).limit(LANGUAGES)
+    return {row.lang: i for i, row in enumerate(most.collect())}
 
 
 def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -114,12 +123,13 @@ def fit(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS, id_c
     """Counts the models: raw over every document, target over labelled good ones.
 
     What the driver gets are two numbers for each of BUCKETS buckets of at most
-    LANGUAGES slots.
+    LANGUAGES + 1 slots.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("good")).where("id is not null and good in (0, 1)")
     n, good = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("good"), F.lit(0))).first()
     chosen = known.where("good = 1").select("id").distinct().orderBy(F.xxhash64("id", F.lit(SEED)), "id").limit(target_rows).withColumn("chosen", F.lit(True))
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), language(docs, lang_col))
+    slots = language_slots(texts)
     # At most target_rows ids.
     marked = texts.join(F.broadcast(chosen), "id", "left").select("text", "lang", F.col("chosen").isNotNull().alias("target"))
 
@@ -128,7 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS, id_c
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
             for text, lang, target in zip(*(each(batch.column(i)) for i in range(3))):
-                own = totals.setdefault(slot(lang), np.zeros((2, BUCKETS), np.int64))
+                own = totals.setdefault(slots.get(lang, LANGUAGES), np.zeros((2, BUCKETS), np.int64))
                 counts = np.bincount(features.buckets(text), minlength=BUCKETS)
                 own[0] += counts
                 if target:
@@ -138,12 +148,12 @@ def fit(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS, id_c
             yield pa.RecordBatch.from_arrays([pa.array((number * BUCKETS + seen).astype(np.int32)), pa.array(own[0][seen]), pa.array(own[1][seen])], ["cell", "raw", "target"])
 
     sums = marked.mapInArrow(count, "cell int, raw long, target long").groupBy("cell").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()
-    raw, target = np.zeros(LANGUAGES * BUCKETS), np.zeros(LANGUAGES * BUCKETS)
+    raw, target = np.zeros((2, (LANGUAGES + 1) * BUCKETS))
     at = sums["cell"].to_numpy()
     raw[at], target[at] = sums["raw"].to_numpy(), sums["target"].to_numpy()
-    raw, target = raw.reshape(LANGUAGES, BUCKETS), target.reshape(LANGUAGES, BUCKETS)
-    ratios = {i: log_ratios(raw[i], target[i]) for i in range(LANGUAGES) if raw[i].any()}
-    return Weights(ratios, good / n if good else 1.0)
+    raw, target = raw.reshape(-1, BUCKETS), target.reshape(-1, BUCKETS)
+    ratios = {i: log_ratios(raw[i], target[i]) for i in range(LANGUAGES + 1) if raw[i].any()}
+    return Weights(ratios, slots, good / n if good else 1.0)
 
 
 def gumbel(key: str, text: str) -> float:
@@ -159,14 +169,13 @@ STEP, MOST = 1 << 20, 1 << 44
 
 def _scored(weights: Weights, places: tuple[int, int, int | None], least: int | None):
     """Adds log_weight and steps to batches, or keeps the rows with at least so many steps."""
-    ratios, none = weights.ratios, np.zeros(BUCKETS)
     id_at, text_at, lang_at = places
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
             langs = batch.column(lang_at).to_pylist() if lang_at is not None else [None] * batch.num_rows
-            rows = [(ratios.get(slot(lang), none)[features.buckets(t or "")].sum(), gumbel(str(i), t or "")) for i, t, lang in zip(each(batch.column(id_at)), each(batch.column(text_at)), langs)]
+            rows = [(weights.of(lang)[features.buckets(t or "")].sum(), gumbel(str(i), t or "")) for i, t, lang in zip(each(batch.column(id_at)), each(batch.column(text_at)), langs)]
             w, noise = np.array(rows, float).reshape(-1, 2).T
             noisy = w + noise
             steps = np.clip(np.floor(noisy * STEP), -MOST, MOST - 1).astype(np.int64)

@@ -1,9 +1,12 @@
 """Importance resampling: the models, the top-k and what stays."""
 
 import collections
+import math
 import random
+import re
 
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 from graphshed.llm import resample
@@ -41,8 +44,8 @@ def test_models_count_every_document(spark):
         for b, n in collections.Counter(features.buckets(text).tolist()).items():
             raw[b] += n
             target[b] += n * (i in good)
-    assert list(weights.ratios) == [resample.slot(None)]
-    assert np.allclose(weights.ratios[resample.slot(None)], resample.log_ratios(raw, target))
+    assert weights.slots == {None: 0} and list(weights.ratios) == [0]
+    assert np.allclose(weights.of(None), resample.log_ratios(raw, target))
     assert weights.share == sum(q for _, q in labels) / len(labels)
 
 
@@ -75,6 +78,74 @@ def test_the_mix_of_languages_weighs_nothing(spark):
     assert len({i for i, *_ in docs if i % 10} - kept) <= 6
 
 
+def plain_sample(rows, labels, buckets_of):
+    """The sample by the definition, in plain Python: {id: (log weight, key)}."""
+    known = [(i, q) for i, q in labels]
+    good = {i for i, q in known if q}
+    half, models = resample.BUCKETS // 2, {}
+    for i, text, lang in rows:
+        raw, target = models.setdefault(lang, (collections.Counter(), collections.Counter()))
+        for b in buckets_of(text):
+            raw[b] += 1
+            target[b] += i in good
+    log_weight, key = {}, {}
+    for i, text, lang in rows:
+        raw, target = models[lang]
+        total = 0.0
+        for b in buckets_of(text):
+            inside = [c for c in raw if (c < half) == (b < half)]
+            t_sum, r_sum = sum(target[c] for c in inside), sum(raw[c] for c in inside)
+            if t_sum:
+                total += math.log((target[b] + resample.PRIOR) / (raw[b] * t_sum / r_sum + resample.PRIOR))
+        u = xxhash.xxh3_64_intdigest(f"{i}\0{text}".encode(), resample.SEED) / 2**64 * (1 - 2**-52) + 2**-53
+        log_weight[i], key[i] = total, total - math.log(-math.log(u))
+    share = len(good) / len(known)
+    k = math.ceil(sum(min(1, share * math.exp(w + resample.LENIENCY)) for w in log_weight.values()) - 1e-6)
+    least = sorted(key.values())[-k]
+    return {i: (log_weight[i], key[i]) for i in key if key[i] >= least}
+
+
+def plain_buckets(text):
+    """Hashed unigrams and bigrams of words and signs, repetitions and capitals marked."""
+    mask, half = 2**64 - 1, resample.BUCKETS // 2
+
+    def mix(x):
+        x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & mask
+        return x ^ x >> 29
+
+    number = lambda word: xxhash.xxh3_64_intdigest(word)
+    found, before = [], None
+    for token in re.findall(r"\w+|[^\w\s]+", text):
+        own = number(token.lower().encode())
+        if len(token) > 1 and token.isupper():
+            found.append(number(b"\0capitals"))
+        found.append(number(b"\0again") if own == before else own)
+        before = own
+    pairs = [(a * 0x2545F4914F6CDD1D & mask) ^ b for a, b in zip(found, found[1:])]
+    return [mix(x) % half for x in found] + [mix(x) % half + half for x in pairs]
+
+
+def test_sample_by_definition(spark):
+    """Log weights, keys, the size of the sample and its rows, against plain Python that shares no code with the operator."""
+    rows, labels = corpus(120)
+    langs = ["tr", "cs", None, ""]  # of one slot, when names were hashed
+    rows = [(i, text, langs[i // 8 % 4]) for i, text, _ in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = plain_sample(rows, labels, plain_buckets)
+    got = {r.doc_id: (r.log_weight, r.key) for r in resample.sample(df, spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
+    assert got.keys() == want.keys() and 0 < len(got) < 120
+    assert all(np.allclose(got[i], want[i], atol=1e-6) for i in want)
+
+
+def test_languages_have_models_of_their_own(spark, monkeypatch):
+    rows = [(i, f"w{i % 5} x", lang) for i, lang in enumerate([None, "", "tr", "cs", "ja", "uk"] * 3 + ["tr"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert resample.fit(df, none).slots == {"tr": 0, None: 1, "": 2, "cs": 3, "ja": 4, "uk": 5}
+    monkeypatch.setattr(resample, "LANGUAGES", 2)
+    assert resample.fit(df, none).slots == {"tr": 0, None: 1}
+
+
 def test_kth_largest(spark):
     r = random.Random(1)
     values = [r.randrange(-resample.MOST, resample.MOST) for _ in range(500)] + [5] * 40 + [-resample.MOST, resample.MOST - 1]
