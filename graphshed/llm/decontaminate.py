@@ -5,12 +5,14 @@ a benchmark item (a shorter item is one window) is a key of an automaton over
 word numbers. A document is scanned once; each occurrence marks its words as
 hit, and word positions lead back to code points of the original text.
 
-The benchmark goes to the workers in groups of at most ``group_words`` words:
-as many scans follow each other as there are groups, so no worker ever holds
-more than one bounded automaton.
+The benchmark goes to the workers in groups of at most ``group_words`` words
+(or one longer item), each broadcast apart: as many scans follow each other as
+there are groups, so the driver holds one group at a time and no worker more
+than one bounded automaton.
 
 Defined results: null or wordless texts have no words and are clean; items
-without words or id are never found; items with one id count as one item;
+without words are never found; the windows of items without id are hit as any
+others, but belong to no item that could be named or counted; items with one id count as one item;
 repeated documents get equal rows; an empty benchmark leaves all clean; only
 the named columns of the documents are read, the others are passed on if
 ``keep`` is set.
@@ -43,7 +45,7 @@ def words_of(text: str) -> list[bytes]:
 class Windows:
     """The windows of some items as an automaton over word numbers."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int):
+    def __init__(self, items: list[tuple[str | None, str]], window: int):
         self.numbers = _Numbers()
         self.keys: list[set[str]] = []
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
@@ -57,7 +59,8 @@ class Windows:
                     at = (len(self.keys), width)
                     self.keys.append(set())
                     self.automaton.add_word(key, at)
-                self.keys[at[0]].add(item)
+                if item is not None:
+                    self.keys[at[0]].add(item)
         if self.keys:
             self.automaton.make_automaton()
 
@@ -84,17 +87,18 @@ class _Numbers(dict):
 _built: dict[str, Windows] = {}
 
 
-def _windows(key: str, items: list[tuple[str, str]], window: int) -> Windows:
+def _windows(key: str, sent, window: int) -> Windows:
     """One automaton for each worker process and group; the last one only is kept."""
+    key = f"{window} {key}"
     if key not in _built:
         _built.clear()
-        _built[key] = Windows(items, window)
+        _built[key] = Windows(sent.value if sent is not None else [], window)
     return _built[key]
 
 
-def item_groups(benchmark: DataFrame, group_words: int, id_col: str = "item_id", text_col: str = "text") -> Iterator[list[tuple[str, str]]]:
+def item_groups(benchmark: DataFrame, group_words: int, id_col: str = "item_id", text_col: str = "text") -> Iterator[list[tuple[str | None, str]]]:
     """The items in groups of bounded size: (id as text, text), read from Spark row by row."""
-    slim = benchmark.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
+    slim = benchmark.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).where("text is not null")
     group, total = [], 0
     for row in slim.toLocalIterator():
         n = len(words_of(row.text))
@@ -141,13 +145,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
     n_fields = len(names_in)
     per_mille = round(share * 1000)
     state = "_ranges", pa.list_(pa.int64())
-    groups = list(item_groups(benchmark, group_words)) or [[]]
-
-    def scan(items: list[tuple[str, str]], first: bool, last: bool):
-        key = hashlib.sha256(repr(items).encode()).hexdigest()
+    context = docs.sparkSession.sparkContext
+    # A broadcast value leaves the driver's Python; of the groups only the one being read is held.
+    groups = [(hashlib.sha256(repr(items).encode()).hexdigest(), context.broadcast(items)) for items in item_groups(benchmark, group_words)] or [("none", None)]
 
+    def scan(key: str, sent, first: bool, last: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            windows = _windows(key, items, window)
+            windows = _windows(key, sent, window)
             for batch in batches:
                 texts = batch.column(text_at)
                 before = [None] * len(texts) if first else list(zip(batch.column(n_fields).to_pylist(), batch.column(n_fields + 1).to_pylist()))
@@ -177,7 +181,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
         return run
 
     out = source
-    for i, items in enumerate(groups):
+    for i, (key, sent) in enumerate(groups):
         last = i == len(groups) - 1
         if not last:
             schema = f"{fields}, _ranges array<long>, _items array<string>"
@@ -185,5 +189,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
             schema = f"{fields}, found struct<{FOUND.replace(' long', ':long').replace(' string', ':string').replace(' boolean', ':boolean').replace(' array', ':array')}>"
         else:
             schema = f"`{id_col}` {source.schema[id_col].dataType.simpleString()}, {FOUND}"
-        out = out.mapInArrow(scan(items, i == 0, last), schema)
+        out = out.mapInArrow(scan(key, sent, i == 0, last), schema)
     return out

@@ -34,8 +34,8 @@ def expected(text, items, window):
 def data():
     r = random.Random(6)
     text = lambda n: " ".join(r.choice(["the", "of", "É", "x9", "and", "to", "in"]) + str(r.randrange(4)) for _ in range(n))
-    items = [(i, text(r.randrange(14, 40))) for i in range(12)] + [(2, text(15)), (50, "Short item"), (51, "one"), (52, None), (53, " !! "), (54, "a a a a a a a a a a a a a a a a")]
-    docs = [None, "", "...", "SHORT-ITEM", "a " * 30, "so short, item and one" + " pad" * 40, "so short, item" + " pad" * 37, "\u00a0one\x00two 日本"]
+    items = [(i, text(r.randrange(14, 40))) for i in range(12)] + [(2, text(15)), (50, "Short item"), (51, "one"), (52, None), (53, " !! "), (54, "a a a a a a a a a a a a a a a a"), (None, "no item has this name"), (None, None)]
+    docs = [None, "", "...", "SHORT-ITEM", "a " * 30, "so short, item and one" + " pad" * 40, "so short, item" + " pad" * 37, "\u00a0one\x00two 日本", "x No item, has this NAME y"]
     for _ in range(60):
         item = r.choice(items[:12])[1].split()
         a = r.randrange(len(item))
