@@ -46,7 +46,7 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest(secrets.detect(table(spark, sf_dir, "documents", "doc_id", "text")))
+    return secrets.digest(secrets.report(table(spark, sf_dir, "documents", "doc_id", "text")))
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
