@@ -1,9 +1,11 @@
 """URL filter: list rules, and a tree of path templates for each host.
 
 A path's segments are generalised in two steps. Segments that look like
-numbers, hashes or dates become class wildcards where they stand; then, level
-by level, a node with more than ``most_children`` different segments has them
-replaced by ``*``. Sibling branches of one host whose continuations and
+numbers, hashes or dates become class wildcards where they stand, with their
+ending; then, level by level, a node with more than ``most_children`` different
+segments has them replaced by ``*``, and endings of wildcards by ``.*``. Levels
+are gone down for as long as a node has so many shapes below it, as only then
+any can be replaced. Sibling branches of one host whose continuations and
 labelled shares don't differ significantly are merged. A template is blocked
 if the smoothed share of blocked pages among its labelled pages reaches
 ``purity``. Labelled pages are those that a list rule decides.
@@ -33,7 +35,7 @@ from graphshed.llm.common import cut
 
 BLOCK, ALLOW = "block", "allow"
 
-MOST_CHILDREN, MOST_DEPTH = 32, 8
+MOST_CHILDREN = 32
 #: Templates of a branch that one task merges; larger ones are merged level by level.
 IN_ONE_TASK = 2000
 #: Blocked share from which a template is blocked; pseudo-counts of blocked and allowed pages.
@@ -86,8 +88,12 @@ def rule_of(host: Column, path: Column, listed: list[Rule]) -> tuple[Column, Col
     return text, verdict
 
 
+#: A class wildcard with its ending.
+CLASS = r"^(\{(?:date|n|hex|id)\})(\.[A-Za-z]{1,5})?$"
+
+
 def shape(path: Column) -> Column:
-    """The path's segments, with class wildcards; what lies deeper than MOST_DEPTH is one segment."""
+    """The path's segments, with class wildcards. A backslash tells a literal segment that begins with a brace from them."""
 
     def general(segment: Column) -> Column:
         ending = F.regexp_extract(segment, r"(\.[A-Za-z]{1,5})$", 1)
@@ -97,27 +103,38 @@ def shape(path: Column) -> Column:
             .when(stem.rlike("^[0-9]+$"), F.lit("{n}"))
             .when(stem.rlike("^[0-9a-fA-F-]{16,}$"), F.lit("{hex}"))
             .when(stem.rlike("[0-9]") & (F.length(stem) >= 12), F.lit("{id}"))
+            .when(F.startswith(stem, F.lit("{")), F.concat(F.lit("\\"), stem))
             .otherwise(stem),
             ending,
         )
 
-    return F.transform(F.filter(F.split(path, "/", MOST_DEPTH + 1), lambda s: s != ""), general)
+    return F.transform(F.filter(F.split(path, "/", -1), lambda s: s != ""), general)
 
 
 def widened(shapes: DataFrame, most_children: int = MOST_CHILDREN) -> DataFrame:
-    """(host, raw, template, n, blocked, allowed): the shapes with crowded nodes replaced by ``*``, level by level."""
-    depth = shapes.agg(F.max(F.size("segments"))).first()[0] or 0
-    out = shapes.withColumn("template", F.lit(""))
-    for level in range(depth):
-        child = F.get("segments", F.lit(level))
-        here = out.withColumn("child", child)
-        kinds = here.where("child is not null and child not like '{%'").select("host", "template", "child").distinct()
-        crowded = kinds.groupBy("host", "template").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > most_children)
+    """(host, raw, n, blocked, allowed, template): the shapes with crowded nodes replaced by ``*``, level by level.
+
+    A node of few shapes has no crowded node below it: its shapes are done.
+    """
+    rest, done, level = shapes.withColumn("template", F.lit("")), [], 0
+    columns = [c for c in rest.columns if c != "segments"]
+    while True:
+        here = rest.withColumn("child", F.get("segments", F.lit(level)))
+        kinds = here.groupBy("host", "template", "child").agg(F.count(F.lit(1)).alias("shapes"))
+        nodes = kinds.groupBy("host", "template").agg(F.sum("shapes").alias("shapes"), F.count("child").alias("kinds")).where(F.col("shapes") > most_children)
         # Cut, so that the join deals both sides anew and can split the rows of a crowded node.
-        joined = here.join(cut(crowded), ["host", "template"], "left")
-        segment = F.when(F.col("kinds").isNotNull() & ~F.startswith("child", F.lit("{")), F.lit("*")).otherwise(F.col("child"))
-        out = cut(joined.withColumn("template", F.when(F.col("child").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), segment))).drop("child", "kinds"))
-    return out.drop("segments")
+        joined = cut(here.join(cut(nodes), ["host", "template"], "left"))
+        left = F.slice("segments", level + 1, F.greatest(F.size("segments") - level, F.lit(0)))
+        ended = joined.where("kinds is null or child is null")
+        done.append(ended.withColumn("template", F.concat("template", F.array_join(F.transform(left, lambda s: F.concat(F.lit("/"), s)), ""))).select(*columns))
+        rest = joined.where("kinds is not null and child is not null")
+        if rest.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        known = F.regexp_extract("child", CLASS, 1)
+        wide = F.when(known == "", "*").when(F.regexp_extract("child", CLASS, 2) == "", known).otherwise(F.concat(known, F.lit(".*")))
+        segment = F.when(F.col("kinds") > most_children, wide).otherwise(F.col("child"))
+        rest = rest.withColumn("template", F.concat("template", F.lit("/"), segment)).select(*columns, "segments")
+        level += 1
 
 
 class Node:
@@ -144,13 +161,17 @@ class Node:
         return out | ({"": rest} if rest else {})
 
     def absorb(self, other: Node) -> None:
-        self.n, self.blocked, self.allowed = self.n + other.n, self.blocked + other.blocked, self.allowed + other.allowed
-        self.ends += other.ends
-        for name, child in other.children.items():
-            if name in self.children:
-                self.children[name].absorb(child)
-            else:
-                self.children[name] = child
+        """Adds the other branch, node by node. Paths can be deep, so nothing here calls itself."""
+        todo = [(self, other)]
+        while todo:
+            own, more = todo.pop()
+            own.n, own.blocked, own.allowed = own.n + more.n, own.blocked + more.blocked, own.allowed + more.allowed
+            own.ends += more.ends
+            for name, child in more.children.items():
+                if name in own.children:
+                    todo.append((own.children[name], child))
+                else:
+                    own.children[name] = child
 
     def merge_children(self) -> None:
         """Merges similar children, from the largest on, and keeps each under the name of its largest."""
@@ -167,16 +188,24 @@ class Node:
 
     def merge(self) -> None:
         """Merges similar children, then goes down."""
-        self.merge_children()
-        for child in self.children.values():
-            child.merge()
+        todo = [self]
+        while todo:
+            node = todo.pop()
+            node.merge_children()
+            todo += node.children.values()
 
     def templates(self, above: str = ""):
         """(merged template, the templates that end in it)"""
-        if self.ends:
-            yield above or "/", self.ends
-        for child in self.children.values():
-            yield from child.templates(f"{above}/{'|'.join(child.names)}")
+        todo = [(self, None)]  # a node, and the names above it as (names, those above them)
+        while todo:
+            node, path = todo.pop()
+            if node.ends:
+                names, at = [], path
+                while at:
+                    names.append(at[0])
+                    at = at[1]
+                yield "".join([above, *reversed(names)]) or "/", node.ends
+            todo += [(child, ("/" + "|".join(child.names), path)) for child in node.children.values()]
 
 
 def g_test(a: dict[str, int], b: dict[str, int]) -> float:
