@@ -220,7 +220,7 @@ def in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", co
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Of every document its fingerprint, that of its edited text (see ``edited``) and how alike they and the next document's are."""
+    """Of every document its fingerprint, that of its edited text (see ``edited``), how alike they and the next document's are, and the numbers of the paragraphs that the edited text has no longer, read from the two trees."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Fingerprints()
@@ -233,9 +233,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 own = make.of(text)
                 if held is not None:
                     was, before, fingerprint = held
-                    changed = edited(before, text)
-                    other = make.of(changed)
-                    rows.append((was, len(before), hashlib.sha256(changed.encode()).hexdigest(), fingerprint, other, likeness(fingerprint, other), likeness(fingerprint, own)))
+                    turned = edited(before, text)
+                    other = make.of(turned)
+                    rows.append((was, len(before), hashlib.sha256(turned.encode()).hexdigest(), fingerprint, other, likeness(fingerprint, other), likeness(fingerprint, own), changed(fingerprint, other)[0]))
                 held = None if ahead else (key, text, own)
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), _RESULT_KINDS)], _RESULT_NAMES)
@@ -243,6 +243,6 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return in_order(docs, id_col, text_col).mapInArrow(run, f"id long, {RESULT}").withColumnRenamed("id", id_col)
 
 
-RESULT = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-_RESULT_KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+RESULT = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, lost_paragraphs array<int>"
+_RESULT_KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.list_(pa.int32())]
 _RESULT_NAMES = ["id", *(x.split()[0] for x in RESULT.split(", "))]
