@@ -9,8 +9,9 @@ moves with all others.
 The classifier is fitted on at most ``toxic_rows`` and ``clean_rows`` labelled
 documents (those with the smallest hash of their id; documented bounds, the
 only rows ever sent to the driver); every whole text is scored where it lies.
-Scores see the text only. Thresholds by language are chosen on the fitting
-rows and used for the column ``flagged``.
+Scores see the text only. One in CALIBRATION of the fitting rows is not trained
+on: where the scores' scale lies and the thresholds by language, used for the
+column ``flagged``, are chosen on these rows.
 
 Defined results: null text counts as empty and gets the score of no words;
 repeated rows get equal rows; rows without id are held out; with no labelled
@@ -33,6 +34,8 @@ from pyspark.sql import functions as F
 from graphshed.llm.common import each
 
 TOXIC_ROWS, CLEAN_ROWS = 1500, 3000
+#: One in so many fitting rows, by a hash of the id, is for calibration only.
+CALIBRATION = 5
 SLOTS = 1 << 18
 DIM, FILTERS, WIDTHS = 8, 6, (1, 2, 3)
 #: Letters of the beginnings that are hashed besides the whole word.
@@ -166,7 +169,7 @@ def train(slots: list[np.ndarray], toxic: np.ndarray, seed: int = 7) -> Model:
 
 
 def calibrate(model: Model, slots: list[np.ndarray], toxic: np.ndarray, langs: list[str], at: float = 0.3) -> None:
-    """Scales the output so that ``at`` lies where the fitting rows are told apart best, and sets each language's threshold the same way.
+    """Scales the output so that ``at`` lies where the given rows are told apart best, and sets each language's threshold the same way.
 
     The scale is common to all languages, as a score may not depend on the language column.
     """
@@ -216,8 +219,14 @@ def fit(docs: DataFrame, labels: DataFrame, **bounds: int) -> Model:
     vocabulary = Vocabulary()
     slots = [vocabulary.of(words_of(t)) for t in rows["text"].to_pylist()]
     toxic = rows["label"].to_numpy().astype(bool)
-    model = train(slots, toxic)
-    calibrate(model, slots, toxic, rows["lang"].to_pylist())
+    for_calibration = np.array([xxhash.xxh3_64_intdigest(str(i), 5) % CALIBRATION == 0 for i in rows["id"].to_pylist()], bool)
+    # With too few rows of a class to part, all are for both.
+    if min((toxic & for_calibration).sum(), (~toxic & for_calibration).sum()) < 5:
+        mine, other = np.ones((2, len(toxic)), bool)
+    else:
+        mine, other = ~for_calibration, for_calibration
+    model = train([s for s, own in zip(slots, mine) if own], toxic[mine])
+    calibrate(model, [s for s, own in zip(slots, other) if own], toxic[other], [lang for lang, own in zip(rows["lang"].to_pylist(), other) if own])
     return model
 
 

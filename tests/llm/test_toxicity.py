@@ -1,9 +1,13 @@
 """The classifier: held-out accuracy, equal scores by both ways of computing them, odd rows."""
 
+import math
 import random
+import re
 import zlib
 
 import numpy as np
+import xxhash
+from pyspark.sql import functions as F
 
 from graphshed.llm import toxicity
 
@@ -60,3 +64,48 @@ def test_no_labels_and_no_rows(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity.score(df, toxicity.fit(df, none)).count() == 1
     assert toxicity.score(df.limit(0), toxicity.fit(df, none)).count() == 0
+
+
+def plain_score(model, text):
+    """The network's answer from its numbers, word by word and filter by filter."""
+    words = re.findall(r"\w+", text.lower())
+    rows = []
+    for w in words:
+        parts = ["=" + w] + [f"{n}{w[:n]}" for n in (4, 5, 6) if len(w) >= n]
+        rows.append(sum(model.table[xxhash.xxh3_64_intdigest(p.encode()) % toxicity.SLOTS].astype(float) for p in parts))
+    while len(rows) < 3:
+        rows.append(np.zeros(toxicity.DIM))
+    z, at = model.bias, 0
+    for width, kernel, bias in zip((1, 2, 3), model.kernels, model.biases):
+        for f in range(toxicity.FILTERS):
+            answers = [bias[f] + np.concatenate(rows[i : i + width]) @ kernel[:, f] for i in range(len(rows) - width + 1)]
+            z += max(0, *answers) * model.weights[at]
+            at += 1
+    return 1 / (1 + math.exp(-z))
+
+
+def test_scores_by_definition_and_clashing_columns(spark):
+    docs, labels = corpus(300)
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(df, lab)
+    clashing = df.withColumns({c: F.lit("own") for c in ("score", "held_out", "predicted", "flagged", "id", "label")})
+    rows = toxicity.score(clashing, toxicity.fit(clashing, lab.withColumn("text", F.lit("no"))))
+    assert rows.columns == ["doc_id", "held_out", "score", "predicted", "flagged"]
+    texts = {i: t for i, t, _ in docs}
+    assert all(abs(r.score - plain_score(model, texts[r.doc_id])) < 1e-4 for r in rows.collect())
+
+
+def test_calibration_rows_are_not_trained_on(spark, monkeypatch):
+    """Turning the labels of the calibration rows moves the scale and thresholds only."""
+    docs, labels = corpus(900)
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    seen = []
+    train = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda slots, toxic, *rest: seen.append(len(slots)) or train(slots, toxic, *rest))
+    own = lambda i: xxhash.xxh3_64_intdigest(str(i), 5) % toxicity.CALIBRATION == 0
+    turned = [(i, 1 - y if own(i) else y) for i, y in labels]
+    a, b = (toxicity.fit(df, spark.createDataFrame(x, "doc_id long, toxic int")) for x in (labels, turned))
+    assert np.array_equal(a.table, b.table) and np.array_equal(a.weights, b.weights) and a.bias != b.bias
+    fitting = [i for i, _ in labels if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert seen == [sum(not own(i) for i in fitting)] * 2 and 0 < seen[0] < len(fitting)
