@@ -1,19 +1,23 @@
 """N-gram Jaccard join of whole texts, exact, by set-relation skipping.
 
-A document's set are its distinct runs of ``words`` words. Documents of equal
-sets are one class. Classes are indexed by the prefixes of their sets: two
-sets that link share a token there. An index list is ordered by set size; what
-the sizes, the token's positions in both sets and a parity sketch rule out is
-skipped by blocks of the list, without looking at the sets (the sketch's
-distance never exceeds the sets' difference, so nothing that links is lost).
-
-Of the pairs that remain in a list only a spanning forest of the nearest is
-verified, on the sets themselves. A set's other answers follow from those of
-the sets it is linked with: once verified links connect two sets, no pair
-between the two sides is looked at again. Lists in which a pair failed are
-gone through again with what is known, until no list has a pair left to try.
-So components are those of all links, and work follows the number of sets, not
-of pairs.
+A document's set are its distinct runs of ``words`` words, as 64-bit hashes.
+Documents of equal sets are one class. Classes are indexed by the prefixes of
+their sets: two sets that link share a token there. An index list is ordered
+by set size and the token's position, and entries equal in both are a block:
+blocks whose sizes or positions rule a link out are skipped whole. Of what is
+left a parity sketch (its distance never exceeds the sets' difference, so
+nothing that links is lost) makes a set's list of possible answers. The list
+of a set that is highly similar to one already gone through is derived from
+that one's: only what is near the similar set, by their distance more, can be
+near this one.
+
+Of the possible answers in a list only a spanning forest of the nearest is
+verified, on the sets themselves, as components are asked for and not links:
+once verified links connect two sets, no pair between the two sides is looked
+at again. Lists in which a pair failed are gone through again with what is
+known, until no list has a pair left to try. So components are those of all
+links, and work follows the number of sets, not of pairs. Results are exact up
+to collisions of 64-bit hashes of shingles and of sets.
 
 Defined results: texts without words, null or empty, have the empty set and
 stay alone; fewer words than a run make one run of the whole sequence;
@@ -31,21 +35,26 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphshed.llm import bloom, components
 from graphshed.llm.common import cut, each, fresh_dir, remove
-from graphshed.llm.hashing import LOWER, WordHashes, shingles
+from graphshed.llm.hashing import LOWER, WordHashes, mix, shingles
 
-#: Buckets in which shingles are counted, to put frequent ones last in every set.
-COUNTERS = 1 << 18
+#: Buckets in which shingles are counted, to put frequent ones last in every set, and the count from which a task reports its own for sure.
+COUNTERS, REPORTED = 1 << 22, 64
+#: Tokens counted at least so often have their entries dealt to SALTS tasks before they are sorted.
+HOT_COUNT, SALTS = 100_000, 64
 #: Bits of a parity sketch: a power of two, at least CELLS for each token that linked sets may differ in, within limits.
 CELLS, SKETCH_LEAST, SKETCH_MOST = 8, 256, 8192
 #: Lists longer than this are dealt to several tasks, in pairs of parts.
 LIST_MOST = 3000
 #: Lists up to this length are compared as a square.
 SMALL_LIST = 48
+#: Possible answers from which a set's list serves those similar to it.
+SERVED = 8
 #: Sizes of index bands, each this many times as large as the last at most (a power of the least size ratio).
 BAND_STEPS = 4
 #: Pairs for each set of a list that are tried at once after the first round.
@@ -115,22 +124,34 @@ def folded(sketches: list[bytes]) -> np.ndarray:
     return rows
 
 
-def frequencies(slim: DataFrame, measure: Measure) -> np.ndarray:
-    """For each counter a level: 0 for all but the frequent, growing with the logarithm of the count over the mean."""
+def frequencies(slim: DataFrame, measure: Measure) -> tuple[np.ndarray, np.ndarray]:
+    """For each counter a level (0 for all but the frequent, growing with the logarithm of the count) and whether it is hot.
+
+    Every row is counted. A task rounds counts below REPORTED up or down at
+    random (by the counter and its own number), so that sums are right on
+    average and few are reported. Levels only order tokens: they change no
+    result.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, totals = Sets(measure), np.zeros(COUNTERS, np.int64)
+        sets, totals = Sets(measure), np.zeros(COUNTERS, np.uint32)
         for batch in batches:
             for text in each(batch.column(1)):
-                tokens = sets.of(text)
-                np.add.at(totals, (tokens % np.uint64(COUNTERS)).view(np.int64), 1)
+                # A set's tokens in one cell count once, which is one less now and then.
+                totals[sets.of(text) % np.uint64(COUNTERS)] += 1
+        cells = np.arange(COUNTERS, dtype=np.uint64)
+        chance = mix(cells * np.uint64(0x9E3779B97F4A7C15) ^ mix(np.uint64([TaskContext.get().partitionId() + 1]))) >> np.uint64(58)
+        totals = np.where((totals < REPORTED) & (chance < totals), REPORTED, np.where(totals < REPORTED, 0, totals))
         seen = np.flatnonzero(totals)
-        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(totals[seen])], ["cell", "n"])
+        for at in range(0, len(seen), 1 << 16):
+            part = seen[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(totals[part].astype(np.int64))], ["cell", "n"])
 
     sums = slim.mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     totals = np.zeros(COUNTERS)
     totals[sums["cell"].to_numpy()] = sums["n"].to_numpy()
-    return np.floor(np.log2(totals / max(1.0, totals.mean()) / 2 + 1)).clip(0, 60).astype(np.uint8)
+    usual = max(float(REPORTED), totals.mean())
+    return np.floor(np.log2(totals / usual / 2 + 1)).clip(0, 60).astype(np.uint8), totals >= HOT_COUNT
 
 
 INDEX = "id {kind}, n long, class long, prefix array<long>, sketch binary"
@@ -171,8 +192,9 @@ POSTINGS = "token long, n int, class long, pos int"
 _POSTING_NAMES = ["token", "n", "class", "pos"]
 
 
-def postings(indexed: DataFrame) -> DataFrame:
-    """The prefixes as index entries. Of the rows of a class only the first that a task meets is given out."""
+def postings(indexed: DataFrame, hot: np.ndarray) -> DataFrame:
+    """The prefixes as index entries, with the salt that deals out hot tokens (0 for all others). Of the rows of a class only the first that a task meets is given out."""
+    sent = indexed.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -185,42 +207,43 @@ def postings(indexed: DataFrame) -> DataFrame:
                     seen.clear()
                 seen.add(number)
                 tokens = prefix.values.to_numpy()
-                parts.append((tokens, np.full(len(tokens), n, np.int32), np.full(len(tokens), number, np.int64), np.arange(len(tokens), dtype=np.int32)))
+                salt = np.where(sent.value[tokens.view(np.uint64) % np.uint64(COUNTERS)], 1 + number % SALTS, 0).astype(np.int32)
+                parts.append((tokens, np.full(len(tokens), n, np.int32), np.full(len(tokens), number, np.int64), np.arange(len(tokens), dtype=np.int32), salt))
             if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], _POSTING_NAMES)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], [*_POSTING_NAMES, "salt"])
 
-    return indexed.where("prefix is not null").select("n", "class", "prefix").mapInArrow(run, POSTINGS)
+    return indexed.where("prefix is not null").select("n", "class", "prefix").mapInArrow(run, POSTINGS + ", salt int")
 
 
 def shared(entries: DataFrame, measure: Measure) -> DataFrame:
-    """The entries with another class of a fitting size in their list.
+    """The distinct entries with another class of a fitting size in their list, and all distinct ones of hot tokens.
 
     Entries come sorted by token, size and class; only neighbours are compared,
-    so a list of any length passes through.
+    so a list of any length passes through. A hot token's are in SALTS tasks.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None  # the last distinct entry, not yet given out, and whether it fits the one before
         for batch in batches:
-            token, n, number, pos = (batch.column(i).to_numpy() for i in range(4))
+            token, n, number, pos, salt = (batch.column(i).to_numpy() for i in range(5))
             fits_first = False
             if rest is not None:
-                token, n, number, pos = (np.concatenate(([r], x)) for r, x in zip(rest[0], (token, n, number, pos)))
+                token, n, number, pos, salt = (np.concatenate(([r], x)) for r, x in zip(rest[0], (token, n, number, pos, salt)))
                 fits_first = rest[1]
             fresh = np.concatenate(([True], (token[1:] != token[:-1]) | (number[1:] != number[:-1])))
-            token, n, number, pos = token[fresh], n[fresh], number[fresh], pos[fresh]
+            token, n, number, pos, salt = token[fresh], n[fresh], number[fresh], pos[fresh], salt[fresh]
             if not len(token):
                 continue
             fits = (token[1:] == token[:-1]) & (measure.least_partner(n[1:].astype(np.int64)) <= n[:-1])
             before = np.concatenate(([fits_first], fits))
-            keep = before[:-1] | fits
-            rest = ((token[-1], n[-1], number[-1], pos[-1]), bool(before[-1]))
+            keep = before[:-1] | fits | (salt[:-1] > 0)
+            rest = ((token[-1], n[-1], number[-1], pos[-1], salt[-1]), bool(before[-1]))
             if keep.any():
                 yield pa.RecordBatch.from_arrays([pa.array(x[:-1][keep]) for x in (token, n, number, pos)], _POSTING_NAMES)
-        if rest is not None and rest[1]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.array([x])) for x in rest[0]], _POSTING_NAMES)
+        if rest is not None and (rest[1] or rest[0][4] > 0):
+            yield pa.RecordBatch.from_arrays([pa.array(np.array([x])) for x in rest[0][:4]], _POSTING_NAMES)
 
-    return entries.repartition("token").sortWithinPartitions("token", "n", "class").mapInArrow(run, POSTINGS)
+    return entries.repartition("token", "salt").sortWithinPartitions("token", "n", "class").mapInArrow(run, POSTINGS)
 
 
 def banded(entries: DataFrame, measure: Measure) -> DataFrame:
@@ -245,44 +268,93 @@ def parted(lists: DataFrame) -> DataFrame:
 
 
 class List:
-    """Entries of one list part: sizes, positions, classes and sketches, by size."""
+    """Entries of one list part, by size and position, in blocks of those equal in both."""
 
-    def __init__(self, measure: Measure, n, number, pos, sketch, root=None, failed=None):
-        order = np.lexsort((number, n))
+    def __init__(self, measure: Measure, n, number, pos, sketch, root=None, failed: dict[int, list[int]] | None = None):
+        order = np.lexsort((number, pos, n))
         self.measure = measure
         self.n, self.number, self.pos, self.sketch = n[order].astype(np.int64), number[order], pos[order].astype(np.int64), sketch[order]
         self.root = self.number if root is None else root[order]
-        self.failed = [()] * len(order) if failed is None else [failed[i] for i in order]
-        self.first = np.searchsorted(self.n, measure.least_partner(self.n), "left")
-        self.last = np.searchsorted(self.n, 100 * self.n // measure.percent, "right")
+        self.failed = failed or {}
+        m = len(order)
+        self.edge = np.flatnonzero(np.concatenate(([True], (self.n[1:] != self.n[:-1]) | (self.pos[1:] != self.pos[:-1]), [True])))
+        self.block = np.repeat(np.arange(len(self.edge) - 1), np.diff(self.edge))
+        self.block_n, self.block_pos = self.n[self.edge[:-1]], self.pos[self.edge[:-1]]
+        self.open: dict[int, np.ndarray] = {}
+        self.served = np.full(m, -1)  # the entry whose list an entry's is derived from
+        self.rows: dict[int, tuple[int, np.ndarray]] = {}  # of such entries the distances of a range of entries
 
         # All distances at once where that is little.
-        self.square = self._distances(slice(None), slice(None)) if len(order) <= SMALL_LIST else None
-        if self.square is not None and not any(map(len, self.failed)) and not (self.square >= 0).any():
-            self.first = self.last = np.zeros(len(order), np.int64)
+        self.square = self._square() if m <= SMALL_LIST else None
+        self.idle = self.square is not None and not (self.square >= 0).any()
+
+    def _fitting(self, block: int) -> np.ndarray:
+        """The entries that a block's may link with by size and position; other blocks are skipped whole."""
+        found = self.open.get(block)
+        if found is None:
+            if len(self.open) >= 64:
+                self.open.clear()
+            n, pos = self.block_n[block], self.block_pos[block]
+            a, b = np.searchsorted(self.block_n, (self.measure.least_partner(n), 100 * n // self.measure.percent + 1))
+            other = self.block_n[a:b]
+            fits = np.minimum(n - pos, other - self.block_pos[a:b]) >= self.measure.overlap(n + other)
+            begin, end = self.edge[a:b][fits], self.edge[a + 1 : b + 1][fits]
+            sizes = end - begin
+            found = self.open[block] = np.repeat(begin - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum()) if len(sizes) else np.empty(0, np.int64)
+        return found
 
-    def _distances(self, rows, columns) -> np.ndarray:
-        """Sketch distances of entries, -1 where linking is ruled out by sizes, positions, sketches or a common root."""
-        n, m = self.n[rows, None], self.n[None, columns]
+    def _square(self) -> np.ndarray:
+        """Sketch distances of all entries, -1 where linking is ruled out by sizes, positions, sketches or a common root."""
+        n, m = self.n[:, None], self.n[None, :]
         both = n + m
-        distance = np.bitwise_count(self.sketch[rows, None] ^ self.sketch[None, columns]).sum(axis=2, dtype=np.int64)
-        left = np.minimum(n - self.pos[rows, None], m - self.pos[None, columns])
-        fits = (distance <= self.measure.difference(both)) & (left >= self.measure.overlap(both)) & (self.root[rows, None] != self.root[None, columns])
+        distance = np.bitwise_count(self.sketch[:, None] ^ self.sketch[None, :]).sum(axis=2, dtype=np.int64)
+        left = np.minimum(n - self.pos[:, None], m - self.pos[None, :])
+        sizes = (m >= self.measure.least_partner(n)) & (100 * n >= self.measure.percent * m)
+        fits = sizes & (distance <= self.measure.difference(both)) & (left >= self.measure.overlap(both)) & (self.root[:, None] != self.root[None, :])
         return np.where(fits, distance, -1)
 
-    def near(self, i: int) -> tuple[int, int, np.ndarray]:
-        """(first, last, distances) of the entries that entry i may link with; -1 where that is ruled out. What lies outside the fitting sizes is skipped as a block."""
-        a, b = int(self.first[i]), int(self.last[i])
-        distance = self.square[i, a:b] if self.square is not None else self._distances(slice(i, i + 1), slice(a, b))[0]
-        if len(self.failed[i]):
-            distance = np.where(np.isin(self.number[a:b], self.failed[i]), -1, distance)
-        return a, b, distance
+    def _distance(self, i: int, others) -> np.ndarray:
+        return np.bitwise_count(self.sketch[i] ^ self.sketch[others]).sum(axis=1, dtype=np.int64)
+
+    def _serve(self, i: int, distance: np.ndarray, at: np.ndarray) -> None:
+        """Keeps what is needed to derive from entry i's list those of its possible answers."""
+        radius = self.measure.difference(2 * self.n[i])
+        a, b = np.searchsorted(self.n, (self.measure.least_partner(self.n[i] - radius), 100 * (self.n[i] + radius) // self.measure.percent + 1))
+        self.rows[i] = (int(a), self._distance(i, slice(a, b)))
+        similar = at[(distance <= radius) & (np.abs(self.n[at] - self.n[i]) <= radius)]
+        self.served[similar[self.served[similar] < 0]] = i
+
+    def near(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """(entries, distances) of those that entry i may link with."""
+        if self.square is not None:
+            at = np.flatnonzero(self.square[i] >= 0)
+            distance = self.square[i, at]
+        else:
+            at, by = self._fitting(self.block[i]), int(self.served[i])
+            most = self.measure.difference(self.n[i] + self.n[at])
+            if by >= 0:
+                # By the triangle inequality; what is far from the similar set needs no look.
+                first, known = self.rows[by]
+                near = known[at - first] <= known[i - first] + most
+                at, most = at[near], most[near]
+            distance = self._distance(i, at)
+            fits = distance <= most
+            at, distance = at[fits], distance[fits]
+            if by < 0 and i not in self.rows and len(at) >= SERVED:
+                self._serve(i, distance, at)
+            own = self.root[at] != self.root[i]
+            at, distance = at[own], distance[own]
+        failed = self.failed.get(int(self.number[i]))
+        if failed:
+            left = ~np.isin(self.number[at], failed)
+            at, distance = at[left], distance[left]
+        return at, distance
 
     def forest(self) -> tuple[list[tuple[int, int]], np.ndarray]:
         """(pairs, near): pairs of entries that span what may be connected, the nearest first (Prim's algorithm; entries of one root count as connected), and which entries have a near one at all."""
         m = len(self.n)
         pairs: list[tuple[int, int]] = []
-        if not self.last.any():
+        if self.idle:
             return pairs, np.zeros(m, bool)
         far = np.iinfo(np.int64).max
         best, parent = np.full(m, far), np.full(m, -1)
@@ -300,13 +372,13 @@ class List:
                 own = same[int(self.root[todo])]
                 done[own], best[own] = True, far
                 for i in own:
-                    a, b, distance = self.near(i)
-                    at = np.flatnonzero(distance >= 0)
+                    at, distance = self.near(i)
                     if not len(at):
                         continue
                     has[i] = True
-                    at = at[~done[a + at] & (distance[at] < best[a + at])]
-                    best[a + at], parent[a + at] = distance[at], i
+                    nearer = ~done[at] & (distance < best[at])
+                    at = at[nearer]
+                    best[at], parent[at] = distance[nearer], i
                 todo = int(best.argmin())
                 if best[todo] == far:
                     todo = -1
@@ -323,11 +395,10 @@ class List:
             found += [(i, i) for i in np.flatnonzero(has).tolist()]
         elif found:
             for i in range(len(self.n)):
-                a, _, distance = self.near(i)
-                at = np.flatnonzero(distance >= 0)
+                at, distance = self.near(i)
                 if len(at) > TRIES:
-                    at = at[np.argsort(distance[at], kind="stable")[:TRIES]]
-                found += [(i, a + int(k)) for k in at]
+                    at = at[np.argsort(distance, kind="stable")[:TRIES]]
+                found += [(i, int(k)) for k in at]
         if not found:
             return np.empty((0, 2), np.int64)
         return np.unique(np.sort(self.number[np.array(found)], axis=1), axis=0)
@@ -337,17 +408,29 @@ PAIRS = "token long, band int, one int, two int, x long, y long"
 _KEYS = ["token", "band", "one", "two"]
 
 
-def candidates(lists: DataFrame, measure: Measure, again: bool) -> DataFrame:
-    """Pairs to verify of every list part (columns of _KEYS, class, n, pos, sketch and, again, root and failed)."""
-    columns = [*_KEYS, "n", "class", "pos", "sketch", *(["root", "failed"] if again else [])]
+def candidates(lists: DataFrame, measure: Measure, failed: DataFrame | None = None) -> DataFrame:
+    """Pairs to verify of every list part (columns of _KEYS, class, n, pos, sketch and, after the first round, root); ``failed`` has the pairs (_KEYS, x, y) that a part has tried in vain."""
+    again = failed is not None
+    columns = [*_KEYS, "n", "class", "pos", "sketch", *(["root"] if again else [])]
+    rows = lists.select(*columns)
+    if again:
+        # A failed pair comes as a row without size.
+        null = F.lit(None)
+        rows = rows.unionAll(failed.select(*_KEYS, null.cast("int"), F.col("x"), null.cast("int"), null.cast("binary"), F.col("y")))
 
     def of_list(key, parts) -> pa.RecordBatch | None:
-        n, number, pos = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        if len(n) < 2:
+        columns = [np.concatenate([p[i] for p in parts]) for i in range(len(parts[0]))]
+        entry = columns[0] >= 0
+        if entry.sum() < 2:
             return None
-        sketch = folded([x for p in parts for x in p[3]])
-        known = (np.concatenate([p[4] for p in parts]), [f for p in parts for f in p[5]]) if again else (None, None)
-        found = List(measure, n, number, pos, sketch, *known).pairs(again)
+        n, number, pos = (c[entry] for c in columns[:3])
+        root = columns[4][entry] if again else None
+        known: dict[int, list[int]] = {}
+        if again:
+            for x, y in zip(columns[1][~entry].tolist(), columns[4][~entry].tolist()):
+                known.setdefault(x, []).append(y)
+                known.setdefault(y, []).append(x)
+        found = List(measure, n, number, pos, folded(columns[3][entry].tolist()), root, known).pairs(again)
         if not len(found):
             return None
         return pa.RecordBatch.from_arrays([*(pa.array(np.full(len(found), k), t) for k, t in zip(key, (pa.int64(), pa.int32(), pa.int32(), pa.int32()))), pa.array(found[:, 0]), pa.array(found[:, 1])], [*_KEYS, "x", "y"])
@@ -358,21 +441,21 @@ def candidates(lists: DataFrame, measure: Measure, again: bool) -> DataFrame:
             if not batch.num_rows:
                 continue
             keys = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(4)])
-            n, number, pos = (batch.column(i).to_numpy() for i in (4, 5, 6))
-            sketch = batch.column(7).to_pylist()
-            root, failed = (batch.column(8).to_numpy(), [x or () for x in batch.column(9).to_pylist()]) if again else (None, None)
-            edges = np.concatenate(([0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1, [len(n)]))
+            own = [batch.column(4).fill_null(-1).to_numpy(zero_copy_only=False), batch.column(5).to_numpy(), batch.column(6).fill_null(-1).to_numpy(zero_copy_only=False), np.array([*batch.column(7).to_pylist(), None], object)[:-1]]
+            if again:
+                own.append(batch.column(8).to_numpy())
+            edges = np.concatenate(([0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1, [batch.num_rows]))
             for a, b in zip(edges[:-1], edges[1:]):
                 key = tuple(keys[:, a].tolist())
                 if key != held:
                     if parts and (out := of_list(held, parts)) is not None:
                         yield out
                     held, parts = key, []
-                parts.append((n[a:b], number[a:b], pos[a:b], sketch[a:b], *((root[a:b], failed[a:b]) if again else ())))
+                parts.append([x[a:b] for x in own])
         if parts and (out := of_list(held, parts)) is not None:
             yield out
 
-    return lists.select(*columns).repartition(*_KEYS).sortWithinPartitions(*_KEYS).mapInArrow(run, PAIRS)
+    return rows.repartition(*_KEYS).sortWithinPartitions(*_KEYS).mapInArrow(run, PAIRS)
 
 
 def texts_of(slim: DataFrame, wanted: DataFrame, measure: Measure) -> DataFrame:
@@ -450,10 +533,10 @@ def verified(pairs: DataFrame, texts: DataFrame, measure: Measure) -> DataFrame:
     return pairs.join(left, "x").join(right, "y").select("x", "y", "data_x", "data_y").mapInArrow(run, "x long, y long, links boolean")
 
 
-def _connected(indexed: DataFrame, slim: DataFrame, measure: Measure, folder: str) -> DataFrame:
+def _connected(indexed: DataFrame, slim: DataFrame, measure: Measure, hot: np.ndarray, folder: str) -> DataFrame:
     """(node, root) of all classes with a verified link."""
     spark = slim.sparkSession
-    shared(postings(indexed), measure).write.parquet(f"{folder}/entries")
+    shared(postings(indexed, hot), measure).write.parquet(f"{folder}/entries")
     entries = spark.read.schema(POSTINGS).parquet(f"{folder}/entries")
     # The rows of a class are summed up before the shuffle, then the join.
     classes = indexed.where("prefix is not null").groupBy("class").agg(F.min("id").alias("id"), F.min("sketch").alias("sketch"))
@@ -461,33 +544,35 @@ def _connected(indexed: DataFrame, slim: DataFrame, measure: Measure, folder: st
     known.write.parquet(f"{folder}/classes")
     known = spark.read.parquet(f"{folder}/classes")
     lists = parted(banded(entries, measure).join(known.select("class", "sketch"), "class"))
-    tried = cut(candidates(lists, measure, again=False))
+    tried = cut(candidates(lists, measure))
     ends = cut(tried.where("x = y").select(F.col("x").alias("class")).distinct())
     tried = tried.where("x <> y")
     texts_of(slim, cut(ends.join(known.select("class", "id"), "class")), measure).write.parquet(f"{folder}/texts")
     texts = spark.read.schema("class long, data binary").parquet(f"{folder}/texts")
-    links = failed = None
+    links = failed = in_vain = None
     while True:
         fresh = tried.select("x", "y").distinct()
         if failed is not None:
             fresh = fresh.join(failed, ["x", "y"], "left_anti")
         fresh = cut(fresh)
-        if fresh.isEmpty():
+        if not fresh.isEmpty():
+            answers = cut(verified(fresh, texts, measure))
+            new_links = answers.where("links").select(F.col("x").alias("u"), F.col("y").alias("v"))
+            new_failed = answers.where("not links").select("x", "y")
+            links = new_links if links is None else links.unionAll(new_links)
+            failed = cut(new_failed if failed is None else failed.unionAll(new_failed))
+            links = cut(components.connect(links).where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")))
+        if failed is None:
             break
-        answers = cut(verified(fresh, texts, measure))
-        new_links = answers.where("links").select(F.col("x").alias("u"), F.col("y").alias("v"))
-        new_failed = answers.where("not links").select("x", "y")
-        links = new_links if links is None else links.unionAll(new_links)
-        failed = cut(new_failed if failed is None else failed.unionAll(new_failed))
-        links = cut(components.connect(links).where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")))
-        # Only lists with a pair that failed may have other pairs to try.
-        open_lists = cut(tried.join(new_failed, ["x", "y"], "left_semi").select(*_KEYS).distinct())
-        if open_lists.isEmpty():
+        # Only lists in which a pair failed, now or before in another list, may have other pairs to try.
+        new_in_vain = cut(tried.join(failed, ["x", "y"], "left_semi").select(*_KEYS, "x", "y"))
+        if new_in_vain.isEmpty():
             break
+        open_lists = cut(new_in_vain.select(*_KEYS).distinct())
+        in_vain = new_in_vain if in_vain is None else cut(in_vain.unionAll(new_in_vain))
         roots = links.select(F.col("u").alias("class"), F.col("v").alias("root"))
-        against = failed.unionAll(failed.select(F.col("y").alias("x"), F.col("x").alias("y"))).groupBy(F.col("x").alias("class")).agg(F.collect_set("y").alias("failed"))
-        rest = lists.join(open_lists, _KEYS, "left_semi").join(cut(roots), "class", "left").join(cut(against), "class", "left")
-        tried = cut(candidates(rest.withColumn("root", F.coalesce("root", "class")), measure, again=True))
+        rest = lists.join(open_lists, _KEYS, "left_semi").join(cut(roots), "class", "left").withColumn("root", F.coalesce("root", "class"))
+        tried = cut(candidates(rest, measure, in_vain.join(open_lists, _KEYS, "left_semi")))
     if links is None:
         return spark.createDataFrame([], "node long, root long")
     return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -499,9 +584,10 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "doc_
     measure = Measure(words, percent)
     slim = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     folder = fresh_dir(spark, "setjoin")
-    index(slim, measure, frequencies(slim, measure)).write.parquet(f"{folder}/index")
+    levels, hot = frequencies(slim, measure)
+    index(slim, measure, levels).write.parquet(f"{folder}/index")
     indexed = spark.read.parquet(f"{folder}/index")
-    roots = _connected(indexed, slim, measure, folder)
+    roots = _connected(indexed, slim, measure, hot, folder)
     rows = indexed.select("id", "n", "class").join(cut(roots.select(F.col("node").alias("class"), "root")), "class", "left").withColumn("root", F.coalesce("root", "class")).select("id", "n", "root")
     least = cut(rows.where("root is not null").groupBy("root").agg(F.min("id").alias("least")))
     out = rows.join(least, "root", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"))

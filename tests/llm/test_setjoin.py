@@ -74,9 +74,47 @@ def test_odd_rows(spark):
     compare(spark, rows, 3, 90)
 
 
+@pytest.mark.parametrize("percent, seed", [(90, 1), (80, 2), (60, 3)])
+def test_lists_by_definition(percent, seed):
+    """Blocks that are skipped and lists derived from similar sets' leave exactly what sizes, positions and sketches allow."""
+    import numpy as np
+
+    r, measure = np.random.default_rng(seed), setjoin.Measure(3, percent)
+    sets = []
+    for size in (30, 80, 84, 300):
+        base = r.integers(0, 2**63, size).astype(np.uint64)
+        for _ in range(40):
+            own = base.copy()
+            own[: r.integers(0, size // 4)] = r.integers(0, 2**63)
+            own = np.concatenate((own, r.integers(0, 2**63, r.integers(0, 3)).astype(np.uint64)))
+            sets.append(np.unique(own))
+    n = np.array([len(x) for x in sets])
+    pos = np.array([r.integers(0, measure.prefix(len(x))) for x in sets])
+    number, sketch = np.arange(len(sets)) * 7, setjoin.folded([setjoin.sketch_of(x, measure) for x in sets])
+    root = np.where(r.random(len(sets)) < 0.2, 0, number)
+    made = setjoin.List(measure, n, number, pos, sketch, root, {7: [14, 21]})
+    assert made.square is None
+    made.forest()
+    assert (made.served >= 0).sum() > 30 and made.rows
+    place = {x: i for i, x in enumerate(number.tolist())}
+    for i in range(len(sets)):
+        a = place[int(made.number[i])]
+        want = {}
+        for b in range(len(sets)):
+            small, large = sorted((n[a], n[b]))
+            distance = sum(bin(int(x) ^ int(y)).count("1") for x, y in zip(sketch[a], sketch[b]))
+            overlap = -(-(n[a] + n[b]) * percent // (100 + percent))
+            fits = 100 * small >= percent * large and distance <= (n[a] + n[b]) * (100 - percent) // (100 + percent) and min(n[a] - pos[a], n[b] - pos[b]) >= overlap
+            if fits and root[a] != root[b] and not (number[a] == 7 and number[b] in (14, 21)):
+                want[int(number[b])] = distance
+        at, distance = made.near(i)
+        assert dict(zip(made.number[at].tolist(), distance.tolist())) == want
+
+
 def test_hot_list_in_parts(spark, monkeypatch):
-    """Lists longer than the limit are dealt to several tasks and lose no link."""
+    """Lists longer than the limit are dealt to several tasks and lose no link, hot tokens neither."""
     monkeypatch.setattr(setjoin, "LIST_MOST", 30)
+    monkeypatch.setattr(setjoin, "HOT_COUNT", 10)
     compare(spark, family(random.Random(5), 10, 120, 160, 0), 3, 90)
 
 
