@@ -36,12 +36,20 @@ def latest(changes: DataFrame) -> DataFrame:
     return changes.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
 
 
+def last_rows(table: DataFrame, changes: DataFrame, elem_type: str) -> DataFrame:
+    """What a change file leaves of the ids it touches: the table's columns of the last row of each, and ``gone`` if that deletes."""
+    last = latest(of_type(changes, elem_type))
+    return last.select(*(F.col(c).cast(table.schema[c].dataType) for c in table.columns), (F.coalesce("action", F.lit("")) == "delete").alias("gone"))
+
+
+def replaced(table: DataFrame, last: DataFrame) -> DataFrame:
+    """The table with the rows of ``last`` (as ``last_rows`` gives them) in place of its own."""
+    return table.join(last.select("id"), "id", "left_anti").unionByName(last.where("not gone").drop("gone"))
+
+
 def upsert(table: DataFrame, changes: DataFrame, elem_type: str) -> DataFrame:
     """The table after a change file: touched ids go, the last row of each id comes in unless it deletes."""
-    last = latest(of_type(changes, elem_type))
-    kept = table.join(last.select("id"), "id", "left_anti")
-    fresh = last.where("action is null or action <> 'delete'").select(*(F.col(c).cast(table.schema[c].dataType) for c in table.columns))
-    return kept.unionByName(fresh)
+    return replaced(table, last_rows(table, changes, elem_type))
 
 
 def apply(store: Store, changes: DataFrame) -> Store:
@@ -61,20 +69,21 @@ def dangling_members(store: Store) -> DataFrame:
 
 
 def check(store: Store, start: int = 0) -> DataFrame:
-    """(rel_id, elem_type, id, missing_type, missing_id): what the relations from ``start``'s thousand on reach that is missing.
+    """(rel_id, elem_type, id, missing_type, missing_id, path): what the relations from ``start``'s thousand on reach that is missing.
 
     A relation is checked with all relations below it; ``elem_type`` and ``id``
-    name the element that has the missing one.
+    name the element that has the missing one, ``path`` the relations from
+    ``rel_id`` down to it, by a shortest way.
     """
     from graphshed.operators.graph import closure
 
     roots = store.relations.where(F.col("id") >= start - start % 1000).select("id")
-    reached = closure(roots, store)
+    reached = closure(roots, store, paths=True)
     members = dangling_members(store).select(F.col("rel_id").alias("rel"), "type", "ref")
-    direct = reached.join(members, "rel").select(F.col("root").alias("rel_id"), F.lit("relation").alias("elem_type"), F.col("rel").alias("id"), F.col("type").alias("missing_type"), F.col("ref").alias("missing_id"))
+    direct = reached.join(members, "rel").select(F.col("root").alias("rel_id"), F.lit("relation").alias("elem_type"), F.col("rel").alias("id"), F.col("type").alias("missing_type"), F.col("ref").alias("missing_id"), "path")
     ways = store.members().where("type = 'way'").select(F.col("rel_id").alias("rel"), F.col("ref").alias("way_id"))
-    nodes = reached.join(ways, "rel").select("root", "way_id").distinct().join(dangling_way_nodes(store), "way_id")
-    return direct.unionAll(nodes.select(F.col("root"), F.lit("way"), "way_id", F.lit("node"), "node_id")).distinct()
+    nodes = reached.join(ways, "rel").groupBy("root", "way_id").agg(F.min(F.struct(F.size("path").alias("n"), "path"))["path"].alias("path")).join(dangling_way_nodes(store), "way_id")
+    return direct.unionAll(nodes.select(F.col("root"), F.lit("way"), "way_id", F.lit("node"), "node_id", "path")).distinct()
 
 
 def counts(store: Store) -> DataFrame:

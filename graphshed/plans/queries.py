@@ -14,8 +14,8 @@ from graphshed.operators import bbox, graph, polyfilter
 from graphshed.operators import store as ops
 from graphshed.plans import testmap as T
 from graphshed.plans.lineage import cut, fresh_folder
-from graphshed.sinks import files
-from graphshed.sources import poly, relation_json, replication, xml
+from graphshed.sinks import files, pbf_files
+from graphshed.sources import pbf, poly, relation_json, replication, xml
 from graphshed.streaming import replicate
 
 def no_meta() -> dict:
@@ -81,7 +81,7 @@ def scan_relations(t):
 
 
 def _change_xml(t: T.Tables) -> DataFrame:
-    full = T.changes(t).where("elem_type <> 'relation'").withColumns(no_meta())
+    full = T.changes(t).withColumns(no_meta())
     full = full.withColumn("tags", F.lit(None).cast(TAGS)).withColumn("bucket", F.floor(F.col("pos") / 2000))
     return xml.render_documents(full, ["bucket"], change=True)
 
@@ -89,16 +89,17 @@ def _change_xml(t: T.Tables) -> DataFrame:
 @query
 def scan_changes(t):
     found = xml.parse(_change_xml(t))
-    return found.select("bucket", F.col("pos").alias("place"), "action", "elem_type", "id", "lat_e7", "lon_e7", F.concat_ws(",", "nodes").alias("nodes"))
+    return found.select("bucket", F.col("pos").alias("place"), "action", "elem_type", "id", "lat_e7", "lon_e7", F.concat_ws(",", "nodes").alias("nodes"), F.concat_ws(",", _refs()).alias("members"))
 
 
 @query
 def scan_pbf_projection(t):
-    """What the binary source keeps: coordinates, node lists, members."""
-    s = T.store(t)
-    rows = s.nodes.select(F.lit("node").alias("elem_type"), "id", F.col("lat_e7").alias("a"), F.col("lon_e7").alias("b"))
-    rows = rows.unionAll(s.ways.select(F.lit("way"), "id", F.size("nodes").cast("bigint"), F.get("nodes", F.lit(0))))
-    return rows.unionAll(s.relations.select(F.lit("relation"), "id", F.size("members").cast("bigint"), F.get("members", F.lit(0))["ref"]))
+    """What the binary source keeps of the store, written as binary files and read again: coordinates, node lists, members."""
+    written = pbf_files.write(T.store(t), fresh_folder(t.spark, "pbf"))
+    rows = pbf.read(t.spark, *(r.file for r in written.collect()))
+    places, refs = F.coalesce(F.size("nodes"), F.size("members")), F.coalesce(F.get("nodes", F.lit(0)), F.get("members", F.lit(0))["ref"])
+    node = F.col("elem_type") == "node"
+    return rows.select("elem_type", "id", F.when(node, F.col("lat_e7")).otherwise(places.cast("bigint")).alias("a"), F.when(node, F.col("lon_e7")).otherwise(refs).alias("b"))
 
 
 def _asked(t: T.Tables, step: int = 7) -> DataFrame:
@@ -124,7 +125,7 @@ def lookup_relation(t):
 @query
 def cache_lookup(t):
     kept = ops.cache(T.nodes(t), _asked(t))
-    return ops.cached(kept, _asked(t).where("id % 2 = 0"))
+    return ops.cached(kept, _asked(t))
 
 
 @query
@@ -149,10 +150,16 @@ def poly_coords(t):
 
 @query
 def poly_tree_walk(t):
-    tree = T.tree(t.spark)
+    """The tree as it is read from a folder of polygon files."""
+    top = fresh_folder(t.spark, "polygons")
+    for name, text in T.POLYGONS.items():
+        os.makedirs(os.path.dirname(f"{top}/{name}"), exist_ok=True)
+        with open(f"{top}/{name}.poly", "w", encoding="utf-8") as f:
+            f.write(text)
+    tree = poly.tree(t.spark, top)
     parents = polyfilter.effective_parents([tuple(r) for r in tree.select("hier_name", "parent", "file").collect()])
     rows = t.spark.createDataFrame(list(parents.items()), "hier_name string, above string")
-    return tree.join(rows, "hier_name", "left").select("hier_name", "parent", F.col("depth").cast("bigint").alias("depth"), "above")
+    return tree.join(rows, "hier_name", "left").select("hier_name", "parent", F.regexp_replace("file", "^.*/polygons-[^/]+/", "").alias("file"), F.col("depth").cast("bigint").alias("depth"), "above")
 
 
 @query
@@ -168,23 +175,23 @@ def diff_listing(t):
 
 @query
 def xml_roundtrip(t):
-    """Change rows with boxes through XML and back."""
-    rows = T.changes(t).where("elem_type = 'way'").withColumns(no_meta())
-    rows = rows.withColumn("tags", F.array().cast(TAGS)).withColumn("bbox", coords.box(F.col("id"), F.col("id") + 5, -F.col("id"), F.col("id") * 2)).withColumn("bucket", F.col("id") % 8)
+    """All change rows with boxes through XML and back."""
+    at = F.col("pos") % 1_000_000_000
+    rows = T.changes(t).withColumns(no_meta())
+    rows = rows.withColumn("tags", F.array().cast(TAGS)).withColumn("bbox", coords.box(at, at + 5, -at, at * 2)).withColumn("bucket", F.floor(F.col("pos") / 5000))
     back = xml.parse(xml.render_documents(rows, ["bucket"]))
-    return back.select("id", "action", F.concat_ws(",", "nodes").alias("nodes"), *sides())
+    return back.select("elem_type", "id", "action", "lat_e7", "lon_e7", F.concat_ws(",", F.coalesce(F.col("nodes").cast("array<string>"), _refs(), F.array().cast("array<string>"))).alias("refs"), *sides())
 
 
-def _rendered(rows: DataFrame) -> DataFrame:
-    """(id, xml) of snapshot elements, one document each line by line."""
+def _refs():
+    """type:ref of members."""
+    return F.transform("members", lambda m: F.concat_ws(":", m["type"], m["ref"].cast("string")))
 
-    @F.udf("string")
-    def shown(e):
-        return xml.render(e.asDict(recursive=True))
 
+def _rendered(rows: DataFrame) -> DataFrame:
+    """(id, xml) of snapshot elements, each as XML of its own."""
     none = F.lit(None)
-    whole = F.struct("elem_type", "id", *(c if c in rows.columns else none.cast(k).alias(c) for c, k in (("version", "bigint"), ("timestamp", "string"), ("uid", "bigint"), ("user", "string"), ("changeset", "bigint"), ("lat_e7", "bigint"), ("lon_e7", "bigint"), ("nodes", "array<bigint>"), ("members", MEMBERS), ("tags", TAGS), ("bbox", BOX))))
-    return rows.select("id", shown(whole).alias("xml"))
+    return xml.render_rows(rows.select("elem_type", "id", *(c if c in rows.columns else none.cast(k).alias(c) for c, k in (("version", "bigint"), ("timestamp", "string"), ("uid", "bigint"), ("user", "string"), ("changeset", "bigint"), ("lat_e7", "bigint"), ("lon_e7", "bigint"), ("nodes", "array<bigint>"), ("members", MEMBERS), ("tags", TAGS), ("bbox", BOX))))).select("id", "xml")
 
 
 @query
@@ -198,6 +205,11 @@ def xml_render_way(t):
     return _rendered(T.ways(t).select(F.lit("way").alias("elem_type"), "id", "nodes"))
 
 
+@query
+def xml_render_relation(t):
+    return _rendered(T.relations(t).select(F.lit("relation").alias("elem_type"), "id", "members"))
+
+
 @query
 def action_runs(t):
     rows = t["events"].select(F.col("event_id").alias("pos"), F.col("user_id"), F.when(F.col("event_type") == "signup", "create").when(F.col("event_type") == "error", "delete").otherwise("modify").alias("action"))
@@ -267,7 +279,7 @@ def dangling_members(t):
 
 @query
 def check_relations_from(t):
-    return ops.check(T.store(t, dangling=True), T.NATIONS + 5).select("rel_id", "elem_type", "id", "missing_type", "missing_id")
+    return ops.check(T.store(t, dangling=True), T.NATIONS + 5).select("rel_id", "elem_type", "id", "missing_type", "missing_id", F.element_at("path", 1).alias("path_from"), F.element_at("path", -1).alias("path_to"))
 
 
 # Graph
@@ -302,15 +314,15 @@ def relation_full(t):
 
 @query
 def relation_tree(t):
+    """The trees of all relations, level by level."""
     s = T.store(t)
-    roots = s.relations.where(F.col("id") == T.NATIONS).select("id")
-    tree = graph.relation_tree(Store(s.nodes, s.ways, s.relations), roots)
+    tree = graph.relation_tree(s, s.relations.select("id"))
     return tree.groupBy("depth", "type", "found").agg(F.count(F.lit(1)).alias("n"), F.sum("ref").cast("bigint").alias("refs")).withColumn("depth", F.col("depth").cast("bigint"))
 
 
 @query
 def seen_sets(t):
-    touched = polyfilter.Touched(T.changes(t).where(F.col("pos") < T.NATION_POS), T.store(t))
+    touched = polyfilter.Touched(T.changes(t), T.store(t))
     sizes = [d.agg(F.lit(kind).alias("type"), F.countDistinct("id").alias("n"), F.coalesce(F.sum("id"), F.lit(0)).cast("bigint").alias("ids")) for kind, d in (("node", touched.nodes), ("way", touched.way_nodes.select("id").distinct()), ("relation", touched.rel_members.select("id").distinct()))]
     return sizes[0].unionAll(sizes[1]).unionAll(sizes[2])
 
@@ -388,8 +400,7 @@ def sequence_path(t):
 def pending_sequences(t):
     """For each customer the sequences between what it has and what there is, up to a largest one."""
     rows = t["customer"].select(F.col("c_custkey").cast("bigint").alias("current"), (F.col("c_custkey") + F.col("c_nationkey")).cast("bigint").alias("remote"))
-    last = F.least("remote", F.lit(1000).cast("bigint"))
-    return rows.where(last > F.col("current")).select("current", F.explode(F.sequence(F.col("current") + 1, last)).alias("sequence"))
+    return rows.select("current", F.explode(replication.pending(F.col("current"), F.col("remote"), F.lit(1000).cast("bigint"))).alias("sequence"))
 
 
 # Geometry
@@ -435,11 +446,7 @@ def ways_in_poly(t):
 @query
 def relations_in_poly(t):
     s = T.store(t)
-    inside = geometry.points_in(s.nodes, _rings(t).where("poly = './west/inner/south'")).select(F.col("id").alias("node_id"))
-    ways = s.way_nodes().join(inside, "node_id", "left_semi").select(F.col("way_id").alias("ref")).distinct()
-    hit = s.members().where("type = 'way'").join(ways, "ref", "left_semi").select("rel_id").distinct()
-    reach = graph.closure(s.relations.select("id"), s)
-    return reach.join(hit.withColumnRenamed("rel_id", "rel"), "rel", "left_semi").select(F.col("root").alias("rel_id")).distinct()
+    return polyfilter.relations_meeting(s, geometry.points_in(s.nodes, _rings(t)).select("id", "poly"))
 
 
 # Boxes, filter, hierarchy

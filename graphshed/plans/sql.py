@@ -45,11 +45,11 @@ CTES = {
     "nparts": "SELECT count(*) AS n FROM part",
     "node_row": f"""SELECT event_id AS pos, action, id, CASE WHEN action = 'delete' THEN 0 ELSE lat_e7 + shift END AS lat_e7, CASE WHEN action = 'delete' THEN 0 ELSE lon_e7 - shift END AS lon_e7
         FROM (SELECT event_id, CASE event_type WHEN 'signup' THEN 'create' WHEN 'error' THEN 'delete' ELSE 'modify' END AS action, user_id * 13 % n AS id, round(value * 10000)::BIGINT AS shift FROM events, nparts) e LEFT JOIN node USING (id)
-        UNION ALL SELECT id + {LATE_POS}, 'modify', id, lat_e7 + 1000000, lon_e7 FROM node WHERE id % 50 = 0""",
-    "way_row": f"SELECT o_orderkey + {WAY_POS} AS pos, CASE WHEN o_orderkey % 70 = 0 THEN 'delete' ELSE 'modify' END AS action, o_orderkey AS id FROM orders WHERE o_orderkey % 10 = 0",
+        UNION ALL SELECT id + {LATE_POS}, 'modify', id, lat_e7 + 1000000, lon_e7 FROM node""",
+    "way_row": f"SELECT o_orderkey + {WAY_POS} AS pos, CASE WHEN o_orderkey % 70 = 0 THEN 'delete' ELSE 'modify' END AS action, o_orderkey AS id FROM orders",
     "way_row_node": "SELECT w.pos, w.id, -n.pos AS place, n.node_id FROM way_row w JOIN way_nodes n ON n.way_id = w.id WHERE w.action <> 'delete'",
     "rel_row": f"""SELECT CASE WHEN id < {NATIONS} THEN id - {CUSTOMERS} + {CUSTOMER_POS} WHEN id < {REGIONS} THEN id - {NATIONS} + {NATION_POS} ELSE id - {REGIONS} + {REGION_POS} END AS pos, 'modify' AS action, id
-        FROM rel WHERE id >= {NATIONS} OR (id - {CUSTOMERS}) % 20 = 0""",
+        FROM rel""",
     "rel_row_member": f"""SELECT pos, id, type, ref FROM (SELECT r.pos, r.id, m.type, m.ref, row_number() OVER (PARTITION BY r.id ORDER BY m.ref) AS k FROM rel_row r JOIN member m ON m.rel_id = r.id) x WHERE id >= {NATIONS} OR k > 1
         UNION ALL SELECT pos, id, 'node', (id - {CUSTOMERS}) * 7 % n FROM rel_row, nparts WHERE id < {NATIONS}""",
     "ring": f"SELECT poly, ring, seq, round(lon::DOUBLE * 1e7)::BIGINT AS lon_e7, round(lat::DOUBLE * 1e7)::BIGINT AS lat_e7 FROM (VALUES {_values(_rings())}) v(poly, ring, seq, lon, lat)",
@@ -211,37 +211,42 @@ SQL = {
     "scan_nodes": sql("node", "SELECT id, lat_e7, lon_e7, CASE WHEN id % 3 = 0 THEN 1 ELSE 0 END::BIGINT AS n_tags, CASE WHEN id % 3 = 0 THEN 'a<b & \"c\" é ' || id END AS tag FROM node"),
     "scan_ways": sql("way_nodes", f"SELECT o_orderkey AS id, count(node_id) AS n_nodes, coalesce({SHOWN}, '') AS nodes FROM orders LEFT JOIN way_nodes ON way_id = o_orderkey GROUP BY o_orderkey"),
     "scan_relations": sql("rel member", f"SELECT id, count(m.ref) AS n_members, {SHOWN_MEMBERS.format('m')} AS members FROM rel LEFT JOIN member m ON rel_id = id GROUP BY id"),
-    "scan_changes": sql("node_row way_row way_row_node", """, r AS (SELECT pos, action, 'node' AS elem_type, id, lat_e7, lon_e7, '' AS nodes FROM node_row
-        UNION ALL SELECT w.pos, w.action, 'way', w.id, NULL, NULL, coalesce(string_agg(n.node_id::VARCHAR, ',' ORDER BY n.place), '') FROM way_row w LEFT JOIN way_row_node n USING (pos) GROUP BY w.pos, w.action, w.id)
-        SELECT pos // 2000 AS bucket, row_number() OVER (PARTITION BY pos // 2000 ORDER BY pos) - 1 AS place, action, elem_type, id, lat_e7, lon_e7, nodes FROM r"""),
+    "scan_changes": sql("node_row way_row way_row_node rel_row rel_row_member", """, r AS (SELECT pos, action, 'node' AS elem_type, id, lat_e7, lon_e7, '' AS nodes, '' AS members FROM node_row
+        UNION ALL SELECT w.pos, w.action, 'way', w.id, NULL, NULL, coalesce(string_agg(n.node_id::VARCHAR, ',' ORDER BY n.place), ''), '' FROM way_row w LEFT JOIN way_row_node n USING (pos) GROUP BY w.pos, w.action, w.id
+        UNION ALL SELECT r.pos, r.action, 'relation', r.id, NULL, NULL, '', coalesce(string_agg(m.type || ':' || m.ref, ',' ORDER BY m.type = 'node', m.ref), '') FROM rel_row r LEFT JOIN rel_row_member m USING (pos) GROUP BY r.pos, r.action, r.id)
+        SELECT pos // 2000 AS bucket, row_number() OVER (PARTITION BY pos // 2000 ORDER BY pos) - 1 AS place, action, elem_type, id, lat_e7, lon_e7, nodes, members FROM r"""),
     "scan_pbf_projection": sql("node way_nodes rel member", """SELECT 'node' AS elem_type, id, lat_e7 AS a, lon_e7 AS b FROM node
         UNION ALL SELECT 'way', o_orderkey, count(node_id), min(node_id) FILTER (WHERE pos = 0) FROM orders LEFT JOIN way_nodes ON way_id = o_orderkey GROUP BY o_orderkey
         UNION ALL SELECT 'relation', id, count(ref), min(ref) FROM rel LEFT JOIN member ON rel_id = id GROUP BY id"""),
     "lookup_node": sql("node", f"SELECT a.id, n.lat_e7, n.lon_e7, n.id IS NOT NULL AS found FROM ({ASKED.format(7)}) a LEFT JOIN node n USING (id)"),
     "lookup_way": sql("way_nodes", f"SELECT a.id, o.o_orderkey IS NOT NULL AS found, CASE WHEN o.o_orderkey IS NULL THEN '' ELSE coalesce(w.nodes, '') END AS nodes FROM ({ASKED.format(11)}) a LEFT JOIN orders o ON o.o_orderkey = a.id LEFT JOIN (SELECT way_id, {SHOWN} AS nodes FROM way_nodes GROUP BY way_id) w ON w.way_id = a.id"),
     "lookup_relation": sql("rel member", f"SELECT a.id, r.id IS NOT NULL AS found, CASE WHEN r.id IS NOT NULL THEN coalesce(m.n, 0) END AS n_members FROM (SELECT c_custkey * 3 + {CUSTOMERS} AS id FROM customer) a LEFT JOIN rel r USING (id) LEFT JOIN (SELECT rel_id, count(*) AS n FROM member GROUP BY rel_id) m ON m.rel_id = a.id"),
-    "cache_lookup": sql("node", f"SELECT a.id, n.lat_e7, n.lon_e7, n.id IS NOT NULL AS found FROM ({ASKED.format(7)}) a LEFT JOIN node n USING (id) WHERE a.id % 2 = 0"),
+    "cache_lookup": sql("node", f"SELECT a.id, n.lat_e7, n.lon_e7, n.id IS NOT NULL AS found FROM ({ASKED.format(7)}) a LEFT JOIN node n USING (id)"),
     "relation_json_roundtrip": sql("rel member", f"SELECT id, {SHOWN_MEMBERS.format('m')} AS members, CASE WHEN id % 3 = 0 THEN id::VARCHAR END AS name, CASE WHEN id % 2 = 0 THEN id % 9 + 1 END AS version FROM rel LEFT JOIN member m ON rel_id = id GROUP BY id"),
     "poly_rings": sql("ring", "SELECT poly, ring::INTEGER AS ring, count(*) AS n_points, min(lon_e7) AS minlon, max(lat_e7) AS maxlat FROM ring GROUP BY poly, ring"),
     "poly_coords": sql("ring", "SELECT poly, ring::BIGINT AS ring, seq::BIGINT AS seq, lon_e7, lat_e7 FROM ring"),
-    "poly_tree_walk": sql("tree", """SELECT t.hier_name, t.parent, (length(t.hier_name) - length(replace(t.hier_name, '/', '')))::BIGINT AS depth, CASE WHEN has = 1 THEN up.above END AS above
+    "poly_tree_walk": sql("tree", """SELECT t.hier_name, t.parent, CASE WHEN has = 1 THEN substr(t.hier_name, 3) || '.poly' END AS file, (length(t.hier_name) - length(replace(t.hier_name, '/', '')))::BIGINT AS depth, CASE WHEN has = 1 THEN up.above END AS above
         FROM tree t LEFT JOIN up ON up.hier_name = t.hier_name AND up.done""", """up(hier_name, place, above, done) AS (SELECT hier_name, parent, NULL::VARCHAR, parent IS NULL FROM tree
         UNION ALL SELECT u.hier_name, CASE WHEN t.has = 1 THEN u.place ELSE t.parent END, CASE WHEN t.has = 1 THEN t.hier_name END, t.has = 1 OR t.parent IS NULL FROM up u JOIN tree t ON t.hier_name = u.place WHERE NOT u.done)"""),
     "state_parse": "SELECT event_id AS sequence FROM events",
     "diff_listing": "SELECT event_id AS sequence, printf('%03d/%03d/%03d.osc.gz', event_id // 1000000 % 1000, event_id // 1000 % 1000, event_id % 1000) AS file FROM events",
-    "xml_roundtrip": sql("way_row way_row_node", "SELECT w.id, w.action, coalesce(string_agg(n.node_id::VARCHAR, ',' ORDER BY n.place), '') AS nodes, w.id AS minlat, w.id + 5 AS maxlat, -w.id AS minlon, w.id * 2 AS maxlon FROM way_row w LEFT JOIN way_row_node n USING (pos) GROUP BY w.id, w.action"),
+    "xml_roundtrip": sql("node_row way_row way_row_node rel_row rel_row_member", """, r AS (SELECT pos, 'node' AS elem_type, id, action, lat_e7, lon_e7, '' AS refs FROM node_row
+        UNION ALL SELECT w.pos, 'way', w.id, w.action, NULL, NULL, coalesce(string_agg(n.node_id::VARCHAR, ',' ORDER BY n.place), '') FROM way_row w LEFT JOIN way_row_node n USING (pos) GROUP BY w.pos, w.id, w.action
+        UNION ALL SELECT r.pos, 'relation', r.id, r.action, NULL, NULL, coalesce(string_agg(m.type || ':' || m.ref, ',' ORDER BY m.type = 'node', m.ref), '') FROM rel_row r LEFT JOIN rel_row_member m USING (pos) GROUP BY r.pos, r.id, r.action)
+        SELECT elem_type, id, action, lat_e7, lon_e7, refs, pos % 1000000000 AS minlat, pos % 1000000000 + 5 AS maxlat, -(pos % 1000000000) AS minlon, pos % 1000000000 * 2 AS maxlon FROM r"""),
     "xml_render_node": sql("node", """SELECT id, '<node id="' || id || '" lat="' || CASE WHEN id = 0 THEN '0' ELSE rtrim(printf('%d.%07d', id // 10000000, id % 10000000), '0') END || '" lon="' || CASE WHEN id = 0 THEN '0' ELSE '-' || id END || '"/>' AS xml FROM node WHERE id % 10000000 <> 0 OR id = 0"""),
     "xml_render_way": sql("way_nodes", """SELECT o_orderkey AS id, '<way id="' || o_orderkey || '">' || coalesce(string_agg('<nd ref="' || node_id || '"/>', '' ORDER BY pos), '') || '</way>' AS xml FROM orders LEFT JOIN way_nodes ON way_id = o_orderkey GROUP BY o_orderkey"""),
+    "xml_render_relation": sql("rel member", """SELECT id, '<relation id="' || id || '">' || coalesce(string_agg('<member type="' || type || '" ref="' || ref || '" role="' || role || '"/>', '' ORDER BY ref), '') || '</relation>' AS xml FROM rel LEFT JOIN member ON rel_id = id GROUP BY id"""),
     "action_runs": """SELECT pos, user_id, action, sum(CASE WHEN before IS DISTINCT FROM action THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY pos)::BIGINT AS run FROM (
         SELECT *, lag(action) OVER (PARTITION BY user_id ORDER BY pos) AS before FROM (SELECT event_id AS pos, user_id, CASE event_type WHEN 'signup' THEN 'create' WHEN 'error' THEN 'delete' ELSE 'modify' END AS action FROM events) e) x""",
     "apply_nodes": sql("node " + ALL_ROWS, f"SELECT id, lat_e7, lon_e7 FROM node WHERE id NOT IN (SELECT id FROM node_row) UNION ALL SELECT r.id, r.lat_e7, r.lon_e7 FROM ({LATEST}) x JOIN node_row r USING (pos) WHERE x.elem_type = 'node' AND x.action <> 'delete'"),
-    "apply_ways": sql("way_nodes way_row way_row_node", f"""SELECT o_orderkey AS id, coalesce({SHOWN}, '') AS nodes FROM orders LEFT JOIN way_nodes ON way_id = o_orderkey WHERE o_orderkey % 10 <> 0 GROUP BY o_orderkey
+    "apply_ways": sql("way_nodes way_row way_row_node", f"""SELECT o_orderkey AS id, coalesce({SHOWN}, '') AS nodes FROM orders LEFT JOIN way_nodes ON way_id = o_orderkey WHERE o_orderkey NOT IN (SELECT id FROM way_row) GROUP BY o_orderkey
         UNION ALL SELECT w.id, coalesce(string_agg(n.node_id::VARCHAR, ',' ORDER BY n.place), '') FROM way_row w LEFT JOIN way_row_node n USING (pos) WHERE w.action <> 'delete' GROUP BY w.id"""),
     "apply_relations": sql("rel member rel_row rel_row_member", """SELECT r.id, coalesce(string_agg(m.type || ':' || m.ref, ',' ORDER BY m.ref), '') AS members FROM rel r LEFT JOIN member m ON m.rel_id = r.id WHERE r.id NOT IN (SELECT id FROM rel_row) GROUP BY r.id
         UNION ALL SELECT r.id, coalesce(string_agg(m.type || ':' || m.ref, ',' ORDER BY m.type = 'node', m.ref), '') FROM rel_row r LEFT JOIN rel_row_member m USING (pos) GROUP BY r.id"""),
     "apply_deletes": sql(ALL_ROWS, f"SELECT elem_type, id, pos FROM ({LATEST}) x WHERE action = 'delete'"),
     "apply_diff": sql("node way_nodes member rel " + ALL_ROWS + " rel_row_member way_row_node", f"""SELECT 'node' AS elem_type, count(*) AS n, 0::BIGINT AS places FROM (SELECT id FROM node WHERE id NOT IN (SELECT id FROM node_row) UNION ALL SELECT id FROM ({LATEST}) x WHERE elem_type = 'node' AND action <> 'delete') a
-        UNION ALL SELECT 'way', (SELECT count(*) FROM orders) - (SELECT count(*) FROM way_row WHERE action = 'delete'), (SELECT count(*) FROM way_nodes WHERE way_id % 10 <> 0) + (SELECT count(*) FROM way_row_node)
+        UNION ALL SELECT 'way', (SELECT count(*) FROM orders) - (SELECT count(*) FROM way_row WHERE action = 'delete'), (SELECT count(*) FROM way_nodes WHERE way_id NOT IN (SELECT id FROM way_row)) + (SELECT count(*) FROM way_row_node)
         UNION ALL SELECT 'relation', (SELECT count(*) FROM rel), (SELECT count(*) FROM member WHERE rel_id NOT IN (SELECT id FROM rel_row)) + (SELECT count(*) FROM rel_row_member)"""),
     "latest_change": sql(ALL_ROWS, LATEST),
     "store_counts": sql("way_nodes member rel", "SELECT 'node' AS elem_type, count(*) AS n, 0::BIGINT AS places FROM part UNION ALL SELECT 'way', (SELECT count(*) FROM orders), (SELECT count(*) FROM way_nodes) UNION ALL SELECT 'relation', (SELECT count(*) FROM rel), (SELECT count(*) FROM member)"),
@@ -249,22 +254,22 @@ SQL = {
     "sorted_input_check": "SELECT pos, id, before FROM (SELECT event_id AS pos, user_id * 13 AS id, lag(user_id * 13) OVER (PARTITION BY event_id // 1000 ORDER BY event_id) AS before FROM events) x WHERE id < before",
     "dangling_way_nodes": sql("lost_nodes", "SELECT way_id, pos, node_id FROM lost_nodes WHERE node_id NOT IN (SELECT p_partkey FROM part)"),
     "dangling_members": sql("lost_member rel", "SELECT rel_id, type, ref FROM lost_member WHERE CASE type WHEN 'node' THEN ref NOT IN (SELECT p_partkey FROM part) WHEN 'way' THEN ref NOT IN (SELECT o_orderkey FROM orders) ELSE ref NOT IN (SELECT id FROM rel) END"),
-    "check_relations_from": sql("lost_member lost_nodes rel", """SELECT DISTINCT rel_id, elem_type, id, missing_type, missing_id FROM (
-        SELECT c.root AS rel_id, 'relation' AS elem_type, c.rel AS id, m.type AS missing_type, m.ref AS missing_id FROM far c JOIN lost_member m ON m.rel_id = c.rel
+    "check_relations_from": sql("lost_member lost_nodes rel", """SELECT rel_id, elem_type, id, missing_type, missing_id, rel_id AS path_from, min(last) AS path_to FROM (
+        SELECT c.root AS rel_id, 'relation' AS elem_type, c.rel AS id, m.type AS missing_type, m.ref AS missing_id, c.rel AS last FROM far c JOIN lost_member m ON m.rel_id = c.rel
             WHERE CASE m.type WHEN 'node' THEN m.ref NOT IN (SELECT p_partkey FROM part) WHEN 'way' THEN m.ref NOT IN (SELECT o_orderkey FROM orders) ELSE m.ref NOT IN (SELECT id FROM rel) END
-        UNION ALL SELECT c.root, 'way', n.way_id, 'node', n.node_id FROM far c JOIN lost_member m ON m.rel_id = c.rel AND m.type = 'way' JOIN lost_nodes n ON n.way_id = m.ref WHERE n.node_id NOT IN (SELECT p_partkey FROM part)) x""",
+        UNION ALL SELECT c.root, 'way', n.way_id, 'node', n.node_id, c.rel FROM far c JOIN lost_member m ON m.rel_id = c.rel AND m.type = 'way' JOIN lost_nodes n ON n.way_id = m.ref WHERE n.node_id NOT IN (SELECT p_partkey FROM part)) x GROUP BY ALL""",
         f"far(root, rel) AS (SELECT id, id FROM rel WHERE id >= {NATIONS + 5 - (NATIONS + 5) % 1000} UNION SELECT root, ref FROM far JOIN lost_member ON rel_id = rel AND type = 'relation')"),
     "way_full": sql("lost_nodes node", "SELECT way_id AS id, w.pos, w.node_id, n.lat_e7, n.lon_e7 FROM lost_nodes w LEFT JOIN node n ON n.id = w.node_id"),
     "way_assemble": sql("way_nodes", f"SELECT way_id, {SHOWN} AS nodes FROM way_nodes GROUP BY way_id"),
     "member_type_split": sql("member", "SELECT type, rel_id, count(*) AS n, max(ref) AS last FROM member GROUP BY type, rel_id"),
     "relation_full": sql("member rel", f"SELECT root, type, count(DISTINCT ref) AS n, sum(DISTINCT ref)::BIGINT AS refs FROM reach JOIN member ON rel_id = rel WHERE root >= {REGIONS} GROUP BY root, type", CLOSURE),
     "relation_tree": sql("member rel", """SELECT depth::BIGINT AS depth, type, found, count(*) AS n, sum(ref)::BIGINT AS refs FROM (SELECT depth, type, ref, CASE type WHEN 'way' THEN ref IN (SELECT o_orderkey FROM orders) ELSE ref IN (SELECT id FROM rel) END AS found FROM paths) x GROUP BY depth, type, found""",
-        f"""paths(depth, type, ref, seen, again) AS (SELECT 0, 'relation', {NATIONS}::BIGINT, [{NATIONS}::BIGINT], false
+        f"""paths(depth, type, ref, seen, again) AS (SELECT 0, 'relation', id, [id], false FROM rel
         UNION ALL SELECT p.depth + 1, m.type, m.ref, CASE WHEN m.type = 'relation' THEN list_append(p.seen, m.ref) ELSE p.seen END, m.type = 'relation' AND list_contains(p.seen, m.ref) FROM paths p JOIN member m ON m.rel_id = p.ref WHERE p.type = 'relation' AND NOT p.again)"""),
-    "seen_sets": sql("node way_nodes member node_row way_row way_row_node rel_row rel_row_member", f"""SELECT 'node' AS type, count(DISTINCT id) AS n, sum(DISTINCT id)::BIGINT AS ids FROM (SELECT id FROM node_row UNION ALL SELECT node_id FROM way_row_node UNION ALL SELECT ref FROM rel_row_member WHERE type = 'node' AND pos < {NATION_POS} UNION ALL SELECT n.node_id FROM way_nodes n WHERE n.way_id IN (SELECT id FROM ways_in)) u WHERE id IN (SELECT p_partkey FROM part)
+    "seen_sets": sql("node way_nodes member node_row way_row way_row_node rel_row rel_row_member", f"""SELECT 'node' AS type, count(DISTINCT id) AS n, sum(DISTINCT id)::BIGINT AS ids FROM (SELECT id FROM node_row UNION ALL SELECT node_id FROM way_row_node UNION ALL SELECT ref FROM rel_row_member WHERE type = 'node' UNION ALL SELECT n.node_id FROM way_nodes n WHERE n.way_id IN (SELECT id FROM ways_in)) u WHERE id IN (SELECT p_partkey FROM part)
         UNION ALL SELECT 'way', count(DISTINCT way_id), sum(DISTINCT way_id)::BIGINT FROM way_nodes WHERE way_id IN (SELECT id FROM ways_in)
-        UNION ALL SELECT 'relation', count(DISTINCT rel_id), sum(DISTINCT rel_id)::BIGINT FROM member WHERE rel_id IN (SELECT id FROM rel_row WHERE pos < {NATION_POS})""",
-        f"ways_in AS (SELECT id FROM way_row UNION SELECT m.ref FROM member m JOIN rel_row r ON r.id = m.rel_id WHERE r.pos < {NATION_POS} AND m.type = 'way')"),
+        UNION ALL SELECT 'relation', count(DISTINCT rel_id), sum(DISTINCT rel_id)::BIGINT FROM member WHERE rel_id IN (SELECT id FROM rel_row)""",
+        f"ways_in AS (SELECT id FROM way_row UNION SELECT m.ref FROM member m JOIN rel_row r ON r.id = m.rel_id WHERE m.type = 'way')"),
     "coord_to_e7": "SELECT e7, count(*) AS n FROM (SELECT round((l_extendedprice / 1000 - l_quantity) * 1e7)::BIGINT AS e7 FROM lineitem) x GROUP BY e7",
     "e7_to_coord": sql("node", "SELECT id, lat_e7 * 1e-7::DOUBLE AS lat, lon_e7 * 1e-7::DOUBLE AS lon FROM node"),
     "bbox_degrees": sql("node", f"SELECT id, a1 * 1e-7::DOUBLE AS minlat, a2 * 1e-7::DOUBLE AS maxlat, a3 * 1e-7::DOUBLE AS minlon, a4 * 1e-7::DOUBLE AS maxlon FROM ({_BOXED}) x"),
@@ -282,7 +287,7 @@ SQL = {
     "bbox_intersects_polygon": sql("node edge", f"SELECT k AS id, poly FROM ({boxes_within(_TEST_BOXES)}) x"),
     "bbox_gate": sql("node ring", f"SELECT b.k AS id, r.poly FROM ({_TEST_BOXES}) b, (SELECT poly, min(lon_e7) AS x1, max(lon_e7) AS x2, min(lat_e7) AS y1, max(lat_e7) AS y2 FROM ring GROUP BY poly) r WHERE b.maxlon >= r.x1 - 1000000 AND b.minlon <= r.x2 + 1000000 AND b.maxlat >= r.y1 - 1000000 AND b.minlat <= r.y2 + 1000000"),
     "ways_in_poly": sql("old_in way_nodes", "SELECT DISTINCT poly, way_id FROM way_nodes JOIN old_in ON k = node_id"),
-    "relations_in_poly": sql("old_in way_nodes member rel", "SELECT DISTINCT root AS rel_id FROM reach JOIN member ON rel_id = rel AND type = 'way' JOIN way_nodes ON way_id = ref JOIN old_in ON k = node_id WHERE poly = './west/inner/south'", CLOSURE),
+    "relations_in_poly": sql("old_in way_nodes member rel", "SELECT DISTINCT poly, root AS rel_id FROM reach JOIN member ON rel_id = rel AND type = 'way' JOIN way_nodes ON way_id = ref JOIN old_in ON k = node_id", CLOSURE),
     "bbox_nodes": sql("node node_row", "SELECT r.pos, r.id, least(min(r.lat_e7) OVER w, n.lat_e7) AS minlat, greatest(max(r.lat_e7) OVER w, n.lat_e7) AS maxlat, least(min(r.lon_e7) OVER w, n.lon_e7) AS minlon, greatest(max(r.lon_e7) OVER w, n.lon_e7) AS maxlon FROM node_row r LEFT JOIN node n USING (id) WINDOW w AS (PARTITION BY r.id ORDER BY r.pos)"),
     "bbox_ways": sql("way_box", f"SELECT pos, id, {BOX} FROM way_box"),
     "bbox_relations": _recursive("rel_row rel_pass4", f"SELECT r.pos, r.id, {BOX} FROM rel_row r LEFT JOIN rel_pass4 USING (pos)"),

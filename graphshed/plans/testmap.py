@@ -2,7 +2,8 @@
 
 Parts are nodes, orders with their line items are ways, customers, nations and
 regions are relations of three levels with one cycle (nation 0 has region 0 as
-a member), events and some orders and customers are the rows of a change file.
+a member); events and all parts, orders, customers, nations and regions are the
+rows of a change file.
 """
 
 from __future__ import annotations
@@ -112,7 +113,7 @@ def _element(elem_type: str, pos, action, id_, lat=None, lon=None, node_list=Non
 
 
 def node_changes(t: Tables) -> DataFrame:
-    """Events as node rows, which lie before the ways, and some nodes that move after them. Deletes have no coordinates, so they stand at (0, 0)."""
+    """Events as node rows, which lie before the ways, and all nodes, which move after them. Deletes have no coordinates, so they stand at (0, 0)."""
     n = t["part"].count()
     action = F.when(F.col("event_type") == "signup", "create").when(F.col("event_type") == "error", "delete").otherwise("modify")
     events = t["events"].select(F.col("event_id").alias("pos"), action.alias("action"), (F.col("user_id") * 13 % n).alias("id"), F.round(F.col("value") * 10000).cast("bigint").alias("shift"))
@@ -120,26 +121,26 @@ def node_changes(t: Tables) -> DataFrame:
     stays = F.col("action") != "delete"
     lat, lon = F.when(stays, F.col("lat_e7") + F.col("shift")).otherwise(0), F.when(stays, F.col("lon_e7") - F.col("shift")).otherwise(0)
     first = moved.select(*_element("node", F.col("pos"), F.col("action"), F.col("id"), lat, lon))
-    late = nodes(t).where("id % 50 = 0").select(*_element("node", F.col("id") + LATE_POS, F.lit("modify"), F.col("id"), F.col("lat_e7") + 1000000, F.col("lon_e7")))
+    late = nodes(t).select(*_element("node", F.col("id") + LATE_POS, F.lit("modify"), F.col("id"), F.col("lat_e7") + 1000000, F.col("lon_e7")))
     return first.unionAll(late)
 
 
 def way_changes(t: Tables) -> DataFrame:
-    """Every tenth order with its nodes turned around; every seventieth as a delete without nodes."""
+    """Every order with its nodes turned around; every seventieth as a delete without nodes."""
     gone = F.col("id") % 70 == 0
-    rows = ways(t).where("id % 10 = 0")
+    rows = ways(t)
     node_list = F.when(gone, F.array().cast("array<bigint>")).otherwise(F.reverse("nodes"))
     return rows.select(*_element("way", F.col("id") + WAY_POS, F.when(gone, "delete").otherwise("modify"), F.col("id"), node_list=node_list))
 
 
 def relation_changes(t: Tables) -> DataFrame:
-    """Some customers without their first order but with a node, then all nations and regions as they are."""
+    """All customers without their first order but with a node, then all nations and regions as they are."""
     n = t["part"].count()
     rel = relations(t)
     level = F.floor(F.col("id") / 1_000_000_000)
     key = F.col("id") % 1_000_000_000
     node = F.array(F.struct(F.lit("node").alias("type"), (key * 7 % n).cast("bigint").alias("ref"), F.lit("place").alias("role")))
-    some = rel.where((level == 1) & (key % 20 == 0)).withColumn("members", F.concat(F.when(F.size("members") > 0, F.slice("members", F.lit(2), F.size("members"))).otherwise(F.col("members")), node))
+    some = rel.where(level == 1).withColumn("members", F.concat(F.when(F.size("members") > 0, F.slice("members", F.lit(2), F.size("members"))).otherwise(F.col("members")), node))
     pos = {1: CUSTOMER_POS, 2: NATION_POS, 3: REGION_POS}
     parts = [some, rel.where(level == 2), rel.where(level == 3)]
     rows = [p.select(*_element("relation", key + pos[i], F.lit("modify"), F.col("id"), members=F.col("members"))) for i, p in enumerate(parts, 1)]

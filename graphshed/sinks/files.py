@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import gzip
+import itertools
 import os
 import shutil
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from graphshed.sources.xml import document, render
 
@@ -25,9 +28,32 @@ def write_document(rows: Iterator[dict], path: str, change: bool, modified: floa
 
 
 def write_xml(elements: DataFrame, path: str, change: bool = True, modified: float | None = None) -> None:
-    """The elements in order of pos as one file, read from Spark partition by partition: never the whole table at once."""
-    ordered = elements.orderBy("pos").toLocalIterator(prefetchPartitions=True)
-    write_document((r.asDict(recursive=True) for r in ordered), path, change, modified)
+    """The elements in order of pos as one file."""
+    write_xml_files(elements.withColumn("_file", F.lit(path)), {path: path}, "_file", change, modified)
+
+
+def write_xml_files(elements: DataFrame, paths: dict[str, str], by: str, change: bool = True, modified: float | None = None) -> None:
+    """The elements of each value of ``by`` in order of pos as one file, by the value's path; values without elements get a file without any.
+
+    A file is one stream, so one task writes it, row by row as Spark hands
+    them over in order; the driver gets the names of what was written. The
+    folders must be mounted wherever tasks run.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[dict]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 500):
+                    yield from batch.slice(at, 500).to_pylist()
+
+        for key, own in itertools.groupby(rows(), lambda r: r[by]):
+            write_document(own, paths[key], change, modified)
+            yield pa.RecordBatch.from_arrays([pa.array([key], pa.string())], ["key"])
+
+    wanted = elements.where(F.col(by).isin(list(paths)))
+    written = {r.key for r in wanted.repartition(max(1, len(paths)), by).sortWithinPartitions(by, "pos").mapInArrow(run, "key string").collect()}
+    for key in paths.keys() - written:
+        write_document(iter(()), paths[key], change, modified)
 
 
 def publish_state(folder: str, sequence: int, state_file: str, original: str | None = None) -> None:
@@ -49,4 +75,4 @@ def publish_state(folder: str, sequence: int, state_file: str, original: str | N
     os.replace(fresh, link)
 
 
-__all__ = ["publish_state", "render", "write_document", "write_xml"]
+__all__ = ["publish_state", "render", "write_document", "write_xml", "write_xml_files"]

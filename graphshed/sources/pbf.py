@@ -146,21 +146,22 @@ class _Blobs(InputPartition):
 
 
 class BlockReader(DataSourceReader):
-    def __init__(self, path: str, schema):
-        self.path, self.schema = path, schema
+    def __init__(self, paths: list[str], schema):
+        self.paths, self.schema = paths, schema
 
     def partitions(self):
         parts: list[_Blobs] = []
-        total = PART_BYTES
-        for kind, at, size in blobs(self.path):
-            if kind != "OSMData":
-                continue
-            if total >= PART_BYTES:
-                parts.append(_Blobs(self.path, []))
-                total = 0
-            parts[-1].places.append((at, size))
-            total += size
-        return parts or [_Blobs(self.path, [])]
+        for path in self.paths:
+            total = PART_BYTES
+            for kind, at, size in blobs(path):
+                if kind != "OSMData":
+                    continue
+                if total >= PART_BYTES:
+                    parts.append(_Blobs(path, []))
+                    total = 0
+                parts[-1].places.append((at, size))
+                total += size
+        return parts or [_Blobs(path, []) for path in self.paths[:1]]
 
     def read(self, partition: _Blobs):
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -176,7 +177,7 @@ class BlockReader(DataSourceReader):
 
 
 class BlockSource(DataSource):
-    """Format ``graph_pbf``: option ``path``."""
+    """Format ``graph_pbf``: option ``path``, one per line."""
 
     @classmethod
     def name(cls) -> str:
@@ -186,9 +187,10 @@ class BlockSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> BlockReader:
-        return BlockReader(self.options["path"].removeprefix("file://"), schema)
+        return BlockReader([p.removeprefix("file://") for p in self.options["path"].split("\n") if p], schema)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
+def read(spark: SparkSession, *paths: str) -> DataFrame:
+    """The elements of binary files."""
     spark.dataSource.register(BlockSource)
-    return spark.read.format("graph_pbf").option("path", path).load()
+    return spark.read.format("graph_pbf").option("path", "\n".join(paths)).load()

@@ -9,7 +9,7 @@ import time
 import urllib.request
 from email.utils import parsedate_to_datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
@@ -47,7 +47,7 @@ def sequence_of(text: str) -> int:
 def read_state(place: str) -> int:
     """The sequence number of a state file or address."""
     try:
-        if re.match("https?:", place):
+        if is_address(place):
             with urllib.request.urlopen(place, timeout=30) as f:
                 text = f.read().decode()
         else:
@@ -61,7 +61,7 @@ def read_state(place: str) -> int:
 def fetch(place: str, target: str) -> None:
     """Copies a file or address to a path: under another name first, with its time of modification, then renamed. Addresses are tried TRIES times."""
     part = f"{target}.part"
-    if re.match("https?:", place):
+    if is_address(place):
         for left in reversed(range(TRIES)):
             try:
                 with urllib.request.urlopen(place, timeout=60) as f, open(part, "wb") as out:
@@ -80,9 +80,34 @@ def fetch(place: str, target: str) -> None:
     os.replace(part, target)
 
 
-def pending(current: int, remote: int, most: int | None = None) -> range:
+def pending(current: Column, remote: Column, most: Column | None = None) -> Column:
     """The sequences after the current one up to the remote one, or to ``most`` if that is smaller."""
-    return range(current + 1, (remote if most is None else min(remote, most)) + 1)
+    last = remote if most is None else F.least(remote, most)
+    return F.when(last > current, F.sequence(current + 1, last)).otherwise(F.array().cast("array<bigint>"))
+
+
+def is_address(place: str) -> bool:
+    return re.match("https?:", place) is not None
+
+
+def mirror(address: str, folder: str, current: int, most: int | None = None) -> int:
+    """Fetches the change files and states after the current sequence from an address into a folder laid out like it; returns the last one.
+
+    A file that is there is not fetched again, and the folder's state moves
+    only when a sequence is whole, so what broke off is taken up again.
+    """
+    from graphshed.sinks.files import publish_state
+
+    remote = read_state(f"{address}/state.txt")
+    last = remote if most is None else min(remote, most)
+    for n in range(current + 1, last + 1):
+        path = path_of(n)
+        os.makedirs(os.path.dirname(f"{folder}/{path}"), exist_ok=True)
+        for ending in (".osc.gz", ".state.txt"):
+            if not os.path.exists(f"{folder}/{path}{ending}"):
+                fetch(f"{address}/{path}{ending}", f"{folder}/{path}{ending}")
+        publish_state(folder, n, f"{path}.state.txt")
+    return max(last, current)
 
 
 def listing(spark: SparkSession, folder: str) -> DataFrame:

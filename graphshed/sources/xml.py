@@ -16,7 +16,7 @@ from xml.sax.saxutils import quoteattr
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from graphshed.model import ELEMENT
 
@@ -208,6 +208,16 @@ def render(e: dict) -> str:
     return out + ">" + "".join(inner) + f"</{kind}>"
 
 
+def render_rows(elements_df: DataFrame) -> DataFrame:
+    """The elements with ``xml``, each as XML of its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(map(render, batch.to_pylist()), pa.string())], [*batch.schema.names, "xml"])
+
+    return elements_df.mapInArrow(run, StructType([*elements_df.schema.fields, StructField("xml", StringType())]))
+
+
 def document(rows: Iterator[dict], change: bool) -> Iterator[str]:
     """Lines of a document. A block is opened where the action differs from the last one; a null action opens none."""
     root = "osmChange" if change else "osm"

@@ -3,7 +3,7 @@
     python -m graphshed.tool store --dir DIR [--import FILE] [--update FILE] [--read TYPE ID] [--check START]
     python -m graphshed.tool xml --source FILE --dest FILE (--bbox | --filter POLY) --store DIR
     python -m graphshed.tool split --source FILE --polygons DIR --store DIR --dest DIR --sequence N
-    python -m graphshed.tool update --store DIR --diffs DIR [--polygons DIR --dest DIR] [--max-state N]
+    python -m graphshed.tool update --store DIR (--diffs DIR | --url-diffs ADDRESS) [--polygons DIR --dest DIR] [--max-state N]
 """
 
 from __future__ import annotations
@@ -87,7 +87,7 @@ def annotate_file(spark: SparkSession, source: str, dest: str, store: Store) ->
 
 
 def filter_file(spark: SparkSession, source: str, dest: str, store: Store, polygon: str) -> None:
-    """Keeps what is inside a polygon. Boxes are worked out first where the source has none."""
+    """Keeps what is inside a polygon. Boxes are worked out first, also where the source has some: those of another store may differ."""
     rings = cut(poly.rings(spark.read.text(polygon, wholetext=True).select(F.lit("poly").alias("poly"), F.col("value").alias("text"))))
     rows = elements(spark, source, change=True).drop("file")
     boxed = bbox.annotate(rows, store)
@@ -99,6 +99,12 @@ def split_of(spark: SparkSession, polygons: str, dest: str) -> replicate.Split:
     return replicate.Split(tree, cut(poly.rings(poly.read_texts(spark, tree))), dest)
 
 
+def print_rows(rows: DataFrame) -> None:
+    """All rows as lines of JSON, read from Spark partition by partition."""
+    for row in rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("line")).toLocalIterator():
+        print(row.line)
+
+
 def main(argv: list[str] | None = None) -> None:
     top = argparse.ArgumentParser(prog="graphshed")
     subs = top.add_subparsers(dest="what", required=True)
@@ -120,8 +126,10 @@ def main(argv: list[str] | None = None) -> None:
         a.add_argument(name, required=True)
     a.add_argument("--sequence", type=int, required=True)
     a = subs.add_parser("update")
-    for name in ("--store", "--diffs"):
-        a.add_argument(name, required=True)
+    a.add_argument("--store", required=True)
+    way = a.add_mutually_exclusive_group(required=True)
+    way.add_argument("--diffs")
+    way.add_argument("--url-diffs")
     a.add_argument("--polygons")
     a.add_argument("--dest")
     a.add_argument("--max-state", type=int)
@@ -135,9 +143,9 @@ def main(argv: list[str] | None = None) -> None:
         if given.update:
             tool.update(given.update)
         if given.read:
-            tool.read(given.read[0], int(given.read[1])).show(1000, truncate=False)
+            print_rows(tool.read(given.read[0], int(given.read[1])))
         if given.check is not None:
-            tool.check(given.check).show(1000, truncate=False)
+            print_rows(tool.check(given.check))
         return
     tool = Tool(spark, given.store)
     tool.init()
@@ -152,7 +160,7 @@ def main(argv: list[str] | None = None) -> None:
         replicate.publish(polyfilter.hierarchy(rows, store, split.tree, split.rings), split, given.sequence)
     else:
         split = split_of(spark, given.polygons, given.dest) if given.polygons else None
-        replicate.follow(tool.snapshots, given.diffs, os.path.join(given.store, "checkpoint"), given.max_state, split)
+        replicate.follow(tool.snapshots, given.diffs or given.url_diffs, os.path.join(given.store, "checkpoint"), given.max_state, split)
 
 
 if __name__ == "__main__":

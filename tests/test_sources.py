@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from graphshed import tool
 from graphshed.functions import codecs, coords, geometry
-from graphshed.operators import polyfilter
-from graphshed.sinks import files
+from graphshed.operators import graph, polyfilter
+from graphshed.operators import store as ops
+from graphshed.sinks import files, pbf_files
 from graphshed.sources import pbf, poly, relation_json, replication, xml
 from graphshed.streaming import replicate
 
@@ -118,6 +119,51 @@ def test_pbf(spark, tmp_path):
     assert t.check().count() == 0
 
 
+def test_pbf_written_and_read(spark, tmp_path):
+    """Numbers of all sizes and signs, empty lists, roles and tags, in several files."""
+    nodes = [(i, (-1) ** i * i * 7919 % 900_000_000, (-1) ** (i // 2) * i * 104_729) for i in range(1, 17_000)]
+    ways = [(5, [1, 900, 3, 3]), (6, []), (10**12, [10**13, 1])]
+    relations = [(-(i + 1) if i % 2 else i, [("way", 5, "outer"), ("node", -7, ""), ("relation", 10**12, "é")][: i % 4], [("k", "v"), ("é", "outer")][: i % 3]) for i in range(30)]
+    store = tool.Store(
+        spark.createDataFrame(nodes, "id bigint, lat_e7 bigint, lon_e7 bigint").repartition(3),
+        spark.createDataFrame(ways, "id bigint, nodes array<bigint>"),
+        spark.createDataFrame(relations, "id bigint, members array<struct<type:string,ref:bigint,role:string>>, tags array<struct<k:string,v:string>>"),
+    )
+    written = pbf_files.write(store, str(tmp_path / "out")).collect()
+    assert sum(r.elements for r in written) == len(nodes) + len(ways) + len(relations)
+    rows = pbf.read(spark, *(r.file for r in written)).collect()
+    assert sorted((r.id, r.lat_e7, r.lon_e7) for r in rows if r.elem_type == "node") == nodes
+    assert sorted((r.id, r.nodes) for r in rows if r.elem_type == "way") == ways
+    found = sorted((r.id, [tuple(m) for m in r.members], [tuple(t) for t in r.tags]) for r in rows if r.elem_type == "relation")
+    assert found == sorted(relations)
+
+
+def test_check_names_the_path(spark):
+    """A shortest path down to the element that lacks something."""
+    rel = lambda i, *members: (i, [(k, ref, "") for k, ref in members])
+    relations = [rel(1, ("relation", 2), ("relation", 3)), rel(2, ("relation", 3)), rel(3, ("way", 5), ("relation", 1), ("node", 99)), rel(4, ("relation", 77))]
+    store = tool.Store(
+        spark.createDataFrame([(1, 0, 0)], "id bigint, lat_e7 bigint, lon_e7 bigint"),
+        spark.createDataFrame([(5, [1, 98])], "id bigint, nodes array<bigint>"),
+        spark.createDataFrame(relations, "id bigint, members array<struct<type:string,ref:bigint,role:string>>"),
+    )
+    found = {(r.rel_id, r.missing_type, r.missing_id): (r.elem_type, r.id, r.path) for r in ops.check(store).collect()}
+    assert found[1, "node", 99] == ("relation", 3, [1, 3]) and found[2, "node", 99] == ("relation", 3, [2, 3])
+    assert found[1, "node", 98] == ("way", 5, [1, 3]) and found[3, "node", 98] == ("way", 5, [3])
+    assert found[4, "relation", 77] == ("relation", 4, [4]) and len(found) == 7
+
+
+def test_deep_trees(spark):
+    """A tree of any depth is read whole."""
+    n = 130
+    relations = [(i, [("relation", i + 1, "")]) for i in range(n)] + [(n, [("node", 1, "")])]
+    store = tool.Store(*tool.empty(spark).__dict__.values())
+    store.nodes = spark.createDataFrame([(1, 0, 0)], "id bigint, lat_e7 bigint, lon_e7 bigint")
+    store.relations = spark.createDataFrame(relations, "id bigint, members array<struct<type:string,ref:bigint,role:string>>")
+    tree = graph.relation_tree(store, spark.createDataFrame([(0,)], "id bigint")).collect()
+    assert len(tree) == n + 2 and max(r.depth for r in tree) == n + 1 and all(r.found for r in tree)
+
+
 def test_polygons(spark, tmp_path):
     text = "name\n1\n 0 0\n\t1e1  0\n 10 10\n 0 0\nEND\n!2\n 1 1\n 2 1\n 1 1\nEND\nEND\n"
     for path in ("a.poly", "a/b/c.poly", "z/d.poly"):
@@ -174,7 +220,8 @@ def test_states(spark, tmp_path):
             replication.sequence_of(text)
     with pytest.raises(replication.StateNotFound):
         replication.read_state(str(tmp_path / "none"))
-    assert list(replication.pending(3, 9, 5)) == [4, 5] and list(replication.pending(7, 9, 5)) == []
+    rows = spark.createDataFrame([(3, 9, 5), (7, 9, 5), (7, 9, None)], "a bigint, b bigint, c bigint")
+    assert [list(r.s) for r in rows.select(replication.pending(F.col("a"), F.col("b"), F.col("c")).alias("s")).collect()] == [[4, 5], [], [8, 9]]
     assert replication.path_of(1234567890) == "234/567/890"
     files.publish_state(str(tmp_path), 7, "000/000/007.state.txt")
     files.publish_state(str(tmp_path), 7, "000/000/007.state.txt")

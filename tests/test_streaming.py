@@ -65,8 +65,89 @@ def test_follow_split_and_replay(spark, place):
     replicate.step(t.snapshots, again, 3, split)
     assert {r.id: r.lon_e7 for r in t.snapshots.read().nodes.collect()} == nodes
     assert output(spark, top, "west", 3) == [("node", 1, "delete")]
+    assert t.snapshots.versions() == ([0], [1, 2, 3])
+    t.snapshots.write(t.snapshots.read(), 3)
     t.snapshots.forget(keep=1)
-    assert sorted(n for n in os.listdir(t.snapshots.folder) if n.isdigit()) == [f"{3:012d}"]
+    assert t.snapshots.versions() == ([3], [])
+    assert {r.id: r.lon_e7 for r in t.snapshots.read().nodes.collect()} == nodes
+
+
+def files_of(folder):
+    return {(top, n): os.stat(os.path.join(top, n)).st_mtime_ns for top, _, names in os.walk(folder) for n in names}
+
+
+def test_a_sequence_writes_its_own_rows_only(spark, tmp_path):
+    """The base's files stay as they are; the delta has the touched ids; many deltas become a base; all versions read alike."""
+    n = 5000
+    nodes = spark.range(n).select("id", (F.col("id") * 10).alias("lat_e7"), F.col("id").alias("lon_e7"))
+    ways = spark.range(100).select("id", F.array(F.col("id"), F.col("id") + 1).alias("nodes"))
+    relations = tool.empty(spark).relations
+    snapshots = replicate.Snapshots(spark, str(tmp_path), deltas_most=3)
+    snapshots.init(tool.Store(nodes, ways, relations))
+    before = files_of(snapshots.path(0))
+    model = {i: i * 10 for i in range(n)}
+    for sequence in range(1, 6):
+        body = f'<modify><node id="{sequence}" lat="0" lon="{sequence}"/><node id="7" lat="0" lon="{sequence}"/></modify><delete><node id="{100 + sequence}" lat="0" lon="0"/></delete><create><node id="{n + sequence}" lat="0" lon="0"/></create>'
+        path = tmp_path / f"{sequence}.osc"
+        path.write_text(f'<osmChange version="0.6">{body}</osmChange>')
+        replicate.step(snapshots, xml.read(spark, str(path)), sequence)
+        for i in (sequence, 7, n + sequence):
+            model[i] = 0
+        del model[100 + sequence]
+        assert spark.read.parquet(f"{snapshots.delta_path(sequence)}/nodes").count() == 4
+        assert spark.read.parquet(f"{snapshots.delta_path(sequence)}/ways").count() == 0
+        assert {r.id: r.lat_e7 for r in snapshots.read().nodes.collect()} == model
+        assert snapshots.read().ways.count() == 100
+    assert files_of(snapshots.path(0)) == before
+    assert snapshots.versions() == ([0, 4], [1, 2, 3, 4, 5])
+    assert snapshots.read(2).nodes.where("id in (101, 102, 103)").count() == 1
+    snapshots.forget(keep=2)
+    assert snapshots.versions() == ([4], [5])
+    with pytest.raises(FileNotFoundError):
+        snapshots.read(2)
+
+
+def test_follow_an_address(spark, place, tmp_path):
+    """Change files come over HTTP, broken off once, and are applied once each."""
+    import functools
+    import gzip
+    import http.server
+    import threading
+
+    t, diffs, split, top = place
+    served, asked = tmp_path / "served", []
+    for n in (1, 2, 3):
+        path = replication.path_of(n)
+        os.makedirs(os.path.dirname(served / path), exist_ok=True)
+        with open(f"{diffs}/{path}.osc", "rb") as f:
+            (served / f"{path}.osc.gz").write_bytes(gzip.compress(f.read()))
+        files.publish_state(str(served), n, f"{path}.state.txt")
+
+    class Handler(http.server.SimpleHTTPRequestHandler):
+        def do_GET(self):  # noqa: N802
+            asked.append(self.path)
+            if self.path.endswith("002.osc.gz") and asked.count(self.path) == 1:
+                self.send_error(503)
+                return
+            super().do_GET()
+
+        def log_message(self, *args):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), functools.partial(Handler, directory=str(served)))
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    address = f"http://127.0.0.1:{server.server_port}/"
+    try:
+        replicate.follow(t.snapshots, address, f"{top}/checkpoint", most=1, split=split)
+        assert t.snapshots.current() == 1
+        replicate.follow(t.snapshots, address, f"{top}/checkpoint", split=split)
+        replicate.follow(t.snapshots, address, f"{top}/checkpoint", split=split)
+    finally:
+        server.shutdown()
+    assert t.snapshots.current() == 3
+    assert {r.id: r.lon_e7 for r in t.snapshots.read().nodes.collect()} == {1: 400_000_000}
+    assert output(spark, top, "west", 3) == [("node", 1, "delete")]
+    assert asked.count("/000/000/002.osc.gz") == 2 and asked.count("/000/000/001.osc.gz") == 1
 
 
 def test_listing(spark, place):
