@@ -147,10 +147,12 @@ def frequencies(slim: DataFrame, measure: Measure) -> tuple[np.ndarray, np.ndarr
             part = seen[at : at + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(totals[part].astype(np.int64))], ["cell", "n"])
 
-    sums = slim.mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    sums = cut(slim.mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")))
+    usual = max(float(REPORTED), (sums.agg(F.sum("n")).first()[0] or 0) / COUNTERS)
+    # Below that the level is 0.
+    frequent = sums.where((F.col("n") >= 2 * usual) | (F.col("n") >= HOT_COUNT)).toArrow()
     totals = np.zeros(COUNTERS)
-    totals[sums["cell"].to_numpy()] = sums["n"].to_numpy()
-    usual = max(float(REPORTED), totals.mean())
+    totals[frequent["cell"].to_numpy()] = frequent["n"].to_numpy()
     return np.floor(np.log2(totals / usual / 2 + 1)).clip(0, 60).astype(np.uint8), totals >= HOT_COUNT
 
 
@@ -277,6 +279,11 @@ class List:
         self.root = self.number if root is None else root[order]
         self.failed = failed or {}
         m = len(order)
+        # All distances at once where that is little.
+        self.square = self._square() if m <= SMALL_LIST else None
+        self.idle = self.square is not None and not (self.square >= 0).any()
+        if self.square is not None:
+            return
         self.edge = np.flatnonzero(np.concatenate(([True], (self.n[1:] != self.n[:-1]) | (self.pos[1:] != self.pos[:-1]), [True])))
         self.block = np.repeat(np.arange(len(self.edge) - 1), np.diff(self.edge))
         self.block_n, self.block_pos = self.n[self.edge[:-1]], self.pos[self.edge[:-1]]
@@ -284,10 +291,6 @@ class List:
         self.served = np.full(m, -1)  # the entry whose list an entry's is derived from
         self.rows: dict[int, tuple[int, np.ndarray]] = {}  # of such entries the distances of a range of entries
 
-        # All distances at once where that is little.
-        self.square = self._square() if m <= SMALL_LIST else None
-        self.idle = self.square is not None and not (self.square >= 0).any()
-
     def _fitting(self, block: int) -> np.ndarray:
         """The entries that a block's may link with by size and position; other blocks are skipped whole."""
         found = self.open.get(block)
@@ -404,6 +407,14 @@ class List:
         return np.unique(np.sort(self.number[np.array(found)], axis=1), axis=0)
 
 
+def two_may_link(measure: Measure, n: list[int], pos: list[int], sketch: list[bytes]) -> bool:
+    """What a List says of two entries with sketches of one length."""
+    both, left = n[0] + n[1], min(n[0] - pos[0], n[1] - pos[1])
+    if 100 * min(n) < measure.percent * max(n) or left < measure.overlap(both):
+        return False
+    return (int.from_bytes(sketch[0]) ^ int.from_bytes(sketch[1])).bit_count() <= measure.difference(both)
+
+
 PAIRS = "token long, band int, one int, two int, x long, y long"
 _KEYS = ["token", "band", "one", "two"]
 
@@ -424,13 +435,16 @@ def candidates(lists: DataFrame, measure: Measure, failed: DataFrame | None = No
         if entry.sum() < 2:
             return None
         n, number, pos = (c[entry] for c in columns[:3])
+        sketches = columns[3][entry].tolist()
+        if not again and len(n) == 2 and len(sketches[0]) == len(sketches[1]) and not two_may_link(measure, n.tolist(), pos.tolist(), sketches):
+            return None
         root = columns[4][entry] if again else None
         known: dict[int, list[int]] = {}
         if again:
             for x, y in zip(columns[1][~entry].tolist(), columns[4][~entry].tolist()):
                 known.setdefault(x, []).append(y)
                 known.setdefault(y, []).append(x)
-        found = List(measure, n, number, pos, folded(columns[3][entry].tolist()), root, known).pairs(again)
+        found = List(measure, n, number, pos, folded(sketches), root, known).pairs(again)
         if not len(found):
             return None
         return pa.RecordBatch.from_arrays([*(pa.array(np.full(len(found), k), t) for k, t in zip(key, (pa.int64(), pa.int32(), pa.int32(), pa.int32()))), pa.array(found[:, 0]), pa.array(found[:, 1])], [*_KEYS, "x", "y"])

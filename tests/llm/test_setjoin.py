@@ -109,6 +109,10 @@ def test_lists_by_definition(percent, seed):
                 want[int(number[b])] = distance
         at, distance = made.near(i)
         assert dict(zip(made.number[at].tolist(), distance.tolist())) == want
+    for _ in range(500):
+        two = r.choice(len(sets), 2, replace=False)
+        small = setjoin.List(measure, n[two], number[two], pos[two], sketch[two])
+        assert setjoin.two_may_link(measure, n[two].tolist(), pos[two].tolist(), [sketch[k].tobytes() for k in two]) == (not small.idle)
 
 
 def test_hot_list_in_parts(spark, monkeypatch):
