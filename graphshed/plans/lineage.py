@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; only where that is unset, as in tests, a new folder of its own."""
+    """The session's ``spark.checkpoint.dir``; only where that is unset, in local mode as in tests, a new folder of its own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found
     known = spark.sparkContext._jsc.sc().getCheckpointDir()
     if known.isEmpty():
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="graphshed-")
         spark.sparkContext.setCheckpointDir(found)
         return found
