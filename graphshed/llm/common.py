@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graphshed.plans.lineage import cut, shared_folder
+
+__all__ = ["BATCH_ROWS", "cut", "each", "fresh_dir", "partitions", "remove", "shared_folder", "small_batches", "table", "unused"]
 
 #: Rows of an Arrow batch. Batches of whole texts lie outside the JVM's heap, twice or more for each task, so Spark's 10,000 rows are too many.
 BATCH_ROWS = 500
@@ -29,35 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see.
-
-    Read from ``spark.checkpoint.dir``; only a session without that setting
-    (tests in local mode) gets a new folder of its own.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            return current.get()
-        found = tempfile.mkdtemp(prefix="graphshed-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing else uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows with their lineage cut, in the shared folder.
-
-    Spark removes the files once nothing refers to them, if
-    spark.cleaner.referenceTracking.cleanCheckpoints is set.
-    """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -71,9 +47,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def whole(name: str = "text"):
-    """The text column with null as empty text."""
-    return F.coalesce(F.col(name), F.lit(""))
+def unused(columns: Iterable[str], name: str) -> str:
+    """The name, with as many underscores before it as it needs to be none of the columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def each(column: pa.Array, slice_rows: int = 64) -> Iterator:

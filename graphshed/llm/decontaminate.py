@@ -15,7 +15,7 @@ without words are never found; the windows of items without id are hit as any
 others, but belong to no item that could be named or counted; items with one id count as one item;
 repeated documents get equal rows; an empty benchmark leaves all clean; only
 the named columns of the documents are read, the others are passed on if
-``keep`` is set.
+``keep`` is set (one named like ``found_col`` is replaced).
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphshed.llm.common import each
+from graphshed.llm.common import each, unused
 
 #: Words stay, A-Z becomes lower case, all else that is ASCII becomes a space.
 _WORDS = bytes(b if b >= 128 or chr(b).isdigit() or chr(b).islower() else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -131,20 +131,20 @@ def merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in merged]
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: float = 0.05, group_words: int = 200_000, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: float = 0.05, group_words: int = 200_000, id_col: str = "doc_id", text_col: str = "text", keep: bool = False, found_col: str = "found") -> DataFrame:
     """For every document: words, hit words, items found, whether it is contaminated, and the spans.
 
     A document is contaminated if a word is hit and the hit words are at least
     the given share of its words. ``keep`` passes on all columns of the
-    documents, with the results in one struct column ``found``.
+    documents, with the results in one struct column.
     """
-    source = docs if keep else docs.select(id_col, text_col)
+    source = docs.drop(found_col) if keep else docs.select(id_col, text_col)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields)
     text_at = source.columns.index(text_col)
     names_in = source.columns
     n_fields = len(names_in)
     per_mille = round(share * 1000)
-    state = "_ranges", pa.list_(pa.int64())
+    ranges_col, items_col = unused(names_in, "_ranges"), unused(names_in, "_items")
     context = docs.sparkSession.sparkContext
     # A broadcast value leaves the driver's Python; of the groups only the one being read is held.
     groups = [(hashlib.sha256(repr(items).encode()).hexdigest(), context.broadcast(items)) for items in item_groups(benchmark, group_words)] or [("none", None)]
@@ -164,7 +164,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
                     out.append((ranges, found, text if ranges else None, len(words)))
                 columns = list(batch.columns[:n_fields])
                 if not last:
-                    yield pa.RecordBatch.from_arrays([*columns, pa.array([[x for r in ranges for x in r] for ranges, *_ in out], state[1]), pa.array([sorted(f) for _, f, *_ in out], pa.list_(pa.string()))], [*names_in, state[0], "_items"])
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array([[x for r in ranges for x in r] for ranges, *_ in out], pa.list_(pa.int64())), pa.array([sorted(f) for _, f, *_ in out], pa.list_(pa.string()))], [*names_in, ranges_col, items_col])
                     continue
                 rows = []
                 for ranges, found, text, n in out:
@@ -174,7 +174,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])))
                 results = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 7, kinds)]
                 if keep:
-                    yield pa.RecordBatch.from_arrays([*columns, pa.StructArray.from_arrays(results, _FOUND_NAMES)], [*names_in, "found"])
+                    yield pa.RecordBatch.from_arrays([*columns, pa.StructArray.from_arrays(results, _FOUND_NAMES)], [*names_in, found_col])
                 else:
                     yield pa.RecordBatch.from_arrays([columns[0], *results], [id_col, *_FOUND_NAMES])
 
@@ -184,9 +184,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
     for i, (key, sent) in enumerate(groups):
         last = i == len(groups) - 1
         if not last:
-            schema = f"{fields}, _ranges array<long>, _items array<string>"
+            schema = f"{fields}, `{ranges_col}` array<long>, `{items_col}` array<string>"
         elif keep:
-            schema = f"{fields}, found struct<{FOUND.replace(' long', ':long').replace(' string', ':string').replace(' boolean', ':boolean').replace(' array', ':array')}>"
+            schema = f"{fields}, `{found_col}` struct<{FOUND.replace(' long', ':long').replace(' string', ':string').replace(' boolean', ':boolean').replace(' array', ':array')}>"
         else:
             schema = f"`{id_col}` {source.schema[id_col].dataType.simpleString()}, {FOUND}"
         out = out.mapInArrow(scan(key, sent, i == 0, last), schema)

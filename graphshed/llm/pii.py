@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphshed.llm import spans as S
+from graphshed.llm.common import unused
 from graphshed.llm.spans import between, let, running
 
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -150,10 +151,11 @@ def find(text: Column, kind: str) -> Column:
 def detect(docs: DataFrame, threshold: float = 0.8, text_col: str = "text") -> DataFrame:
     """All columns, with base_spans (the four fixed kinds) and spans (these and further ones), by kind and start."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    found = docs.withColumns({f"_{kind}": find(text, kind) for kind in KINDS})
-    base = F.concat(*(F.col(f"_{kind}") for kind in BASE_KINDS))
-    more = (F.filter(f"_{kind}", lambda s: s["score"] >= threshold) for kind in KINDS if kind not in BASE_KINDS)
-    return found.withColumns({"base_spans": base, "spans": F.concat(base, *more)}).drop(*(f"_{kind}" for kind in KINDS))
+    own = {kind: unused(docs.columns, f"_{kind}") for kind in KINDS}
+    found = docs.withColumns({own[kind]: find(text, kind) for kind in KINDS})
+    base = F.concat(*(F.col(own[kind]) for kind in BASE_KINDS))
+    more = (F.filter(own[kind], lambda s: s["score"] >= threshold) for kind in KINDS if kind not in BASE_KINDS)
+    return found.withColumns({"base_spans": base, "spans": F.concat(base, *more)}).drop(*own.values())
 
 
 def replaced(text: Column, spans: Column) -> Column:
@@ -179,7 +181,7 @@ def redact(docs: DataFrame, threshold: float = 0.8, text_col: str = "text") -> D
     """
     columns = docs.columns
     text = F.coalesce(F.col(text_col), F.lit(""))
-    own = {name: f"_own_{name}" for name in ("spans", "base_spans") if name in columns}
+    own = {name: unused(columns, f"_own_{name}") for name in ("spans", "base_spans") if name in columns}
     found = detect(docs.withColumnsRenamed(own), threshold, text_col)
     found = found.withColumn(text_col, F.when(F.size("spans") > 0, replaced(text, F.col("spans"))).otherwise(F.col(text_col)))
     return found.drop("spans", "base_spans").withColumnsRenamed({b: a for a, b in own.items()}).select(*columns)

@@ -26,7 +26,8 @@ driver gets one number for each step that reports anything.
 
 Defined results: null text counts as empty; repeated rows get equal rows; an
 empty table gives an empty table; other columns are passed on by ``detect``
-(``spans`` and ``base_spans`` replace columns of those names). Tokens that
+(``spans``, ``base_spans``, ``_tokens`` and ``_decoys`` replace columns of
+those names). Tokens that
 overlap a span of a fixed kind are neither tested nor reported.
 """
 

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphshed.llm import bloom, components
-from graphshed.llm.common import cut, each, fresh_dir, remove
+from graphshed.llm.common import cut, each, fresh_dir, remove, unused
 from graphshed.llm.hashing import LOWER, WordHashes, mix, shingles
 
 #: Buckets in which shingles are counted, to put frequent ones last in every set, and the count from which a task reports its own for sure.
@@ -626,17 +626,18 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     unsure = cut(gone.unionAll(several).distinct())
     bits = bloom.bits_for(unsure.count())
     columns = docs.columns
-    kept = found.where(F.col("id").eqNullSafe(F.col("component_id")) | (F.col("id").isNull() & F.col("component_id").isNull())).select(F.struct("id").alias("_key")).distinct()
+    key, text = unused(columns, "_key"), unused(columns, "_text")
+    kept = found.where(F.col("id").eqNullSafe(F.col("component_id")) | (F.col("id").isNull() & F.col("component_id").isNull())).select(F.struct("id").alias(key)).distinct()
 
     def one(rows: DataFrame) -> DataFrame:
-        # In a struct a null id is equal to itself, and the name can't clash.
-        keyed = rows.withColumn("_key", F.struct(F.col(id_col).alias("id")))
-        return keyed.join(cut(kept), "_key", "left_semi").withColumn("_text", F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))).dropDuplicates(["_key", "_text"]).select(*columns)
+        # In a struct a null id is equal to itself.
+        keyed = rows.withColumn(key, F.struct(F.col(id_col).alias("id")))
+        return keyed.join(cut(kept), key, "left_semi").withColumn(text, F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))).dropDuplicates([key, text]).select(*columns)
 
     if bits is None:
         return one(docs)
     sent = spark.sparkContext.broadcast(bloom.build(unsure, "id", bits))
-    probed = docs.withColumn("_probes", bloom.probes(id_col, bits))
+    probed = docs.withColumn(unused(columns, "_probes"), bloom.probes(id_col, bits))
 
     def rows(which: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

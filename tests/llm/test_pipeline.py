@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from graphshed.llm import pii, spans
 from tests.llm.test_decontaminate import expected
@@ -74,6 +76,25 @@ def test_stages(spark, tmp_path):
     assert sorted(whole, key=str) == sorted(((x.doc_id, x.piece, x.ids_crc32) for x in outputs["packing"]), key=str)
 
 
+def test_clashing_columns(spark, tmp_path):
+    """Columns named like any that the stages use are passed on as they are; null and huge texts, ties and repeated rows too."""
+    folder = str(tmp_path)
+    tables(spark, folder)
+    names = ["spans", "base_spans", "found", "_key", "_text", "_probes", "_email", "_own_spans", "_ranges", "id", "n", "class", "prefix", "sketch", "root", "score", "ids", "piece"]
+    now = spark.read.parquet(f"{folder}/documents.parquet")
+    now = now.unionByName(spark.createDataFrame([(900, "word " * 60_000, "en", "src", 300_000)] * 2, now.schema)).withColumns({c: F.concat(F.lit(f"{c} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))) for c in names})
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, now, folder)
+        if name == "packing":
+            assert out.count() >= now.count()
+            break
+        assert out.columns == now.columns
+        out.write.parquet(f"{folder}/{name}")
+        now = spark.read.parquet(f"{folder}/{name}")
+        rows = now.collect()
+        assert rows and all(r[c] == f"{c} {'none' if r.doc_id is None else r.doc_id}" for r in rows for c in names)
+
+
 def test_empty_tables(spark, tmp_path):
     folder = str(tmp_path)
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
@@ -83,8 +104,6 @@ def test_empty_tables(spark, tmp_path):
 
 
 def test_spans_add_up(spark):
-    from pyspark.sql import functions as F
-
     df = spark.createDataFrame([("a1bb22ccc333",)], "t string")
     found = df.select(spans.find(F.col("t"), "n", "[0-9]+").alias("s")).first().s
     assert [(x.start, x.stop, x.match) for x in found] == [(1, 2, "1"), (4, 6, "22"), (9, 12, "333")]
