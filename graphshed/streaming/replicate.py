@@ -14,10 +14,10 @@ import fcntl
 import os
 import shutil
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from graphshed.model import Store
@@ -48,6 +48,8 @@ class Snapshots:
     spark: SparkSession
     folder: str
     deltas_most: int = DELTAS_MOST
+    #: Rows written to each table so far, as Spark observed them.
+    written: dict[str, int] = field(default_factory=lambda: dict.fromkeys(TABLES, 0))
 
     @property
     def state_file(self) -> str:
@@ -116,7 +118,9 @@ class Snapshots:
     def _publish(self, tables: dict[str, DataFrame], target: str) -> None:
         part = f"{target}.part"
         for name, table in tables.items():
-            table.sortWithinPartitions("id").write.mode("overwrite").parquet(f"{part}/{name}")
+            seen = Observation()
+            table.observe(seen, F.count(F.lit(1)).alias("rows")).sortWithinPartitions("id").write.mode("overwrite").parquet(f"{part}/{name}")
+            self.written[name] += seen.get["rows"]
         if os.path.exists(target):
             shutil.rmtree(target)
         os.replace(part, target)

@@ -1,6 +1,6 @@
 """The library's entry points in one place: a store to import into, update, read and check, and one-shot transforms.
 
-    python -m graphshed.tool store --dir DIR [--import FILE] [--update FILE] [--read TYPE ID] [--check START]
+    python -m graphshed.tool store --dir DIR [--import FILE|DIR] [--update FILE] [--read TYPE ID] [--check START]
     python -m graphshed.tool xml --source FILE --dest FILE (--bbox | --filter POLY) --store DIR
     python -m graphshed.tool split --source FILE --polygons DIR --store DIR --dest DIR --sequence N
     python -m graphshed.tool update --store DIR (--diffs DIR | --url-diffs ADDRESS) [--polygons DIR --dest DIR] [--max-state N]
@@ -19,7 +19,7 @@ from graphshed.operators import bbox, graph, polyfilter
 from graphshed.operators import store as ops
 from graphshed.plans.lineage import cut
 from graphshed.sinks import files
-from graphshed.sources import pbf, poly, xml
+from graphshed.sources import legacy, pbf, poly, xml
 from graphshed.streaming import replicate
 
 
@@ -59,9 +59,9 @@ class Tool:
         self.snapshots.init(empty(self.spark))
 
     def import_(self, path: str) -> None:
+        """A snapshot file, or a folder with a store in the old layout."""
         with replicate.single_writer(self.snapshots.folder):
-            rows = elements(self.spark, path, change=False)
-            loaded = store_of(rows)
+            loaded = legacy.read(self.spark, path) if os.path.isdir(path) else store_of(elements(self.spark, path, change=False))
             parts = {name: getattr(loaded, name).withColumn("elem_type", F.lit(name[:-1])) for name in replicate.TABLES}
             old = self.snapshots.read()
             fresh = Store(*(getattr(old, n).join(parts[n].select("id"), "id", "left_anti").unionByName(parts[n].drop("elem_type")) for n in replicate.TABLES))
@@ -146,6 +146,7 @@ def main(argv: list[str] | None = None) -> None:
             print_rows(tool.read(given.read[0], int(given.read[1])))
         if given.check is not None:
             print_rows(tool.check(given.check))
+        print("rows written: " + ", ".join(f"{n} {name}" for name, n in tool.snapshots.written.items()))
         return
     tool = Tool(spark, given.store)
     tool.init()

@@ -138,6 +138,31 @@ def test_pbf_written_and_read(spark, tmp_path):
     assert found == sorted(relations)
 
 
+def test_old_layout(spark, tmp_path):
+    """Flat files with gaps, ways out of order and freed places, relations in folders."""
+    nodes = {1: (0, 0), 2: (-900_000_000, 1_800_000_000), 70_000: (5, -7)}
+    ways = {3: [1, 2, 2], 9: [70_000, 2**39], 4: [2]}
+    (tmp_path / "relation" / "000" / "000").mkdir(parents=True)
+    data = bytearray(8 * 70_001)
+    for i, (lat, lon) in nodes.items():
+        data[8 * i : 8 * i + 8] = struct.pack(">II", lat + 1_800_000_000, lon + 1_800_000_000)
+    (tmp_path / "node.crd").write_bytes(data)
+    index, body = bytearray(5 * 10), b"--way--"
+    for i, refs in ways.items():
+        index[5 * i : 5 * i + 5] = len(body).to_bytes(5, "big")
+        body += struct.pack(">H", len(refs)) + b"".join(n.to_bytes(5, "big") for n in refs) + b"freed"
+    (tmp_path / "way.idx").write_bytes(index)
+    (tmp_path / "way.data").write_bytes(body)
+    (tmp_path / "relation" / "000" / "000" / "012").write_text('{"id":12,"member":[{"ref":9,"role":"outer","type":"way"}],"tag":{"k":"v"}}')
+    t = tool.Tool(spark, str(tmp_path / "store"))
+    t.init()
+    t.import_(str(tmp_path))
+    s = t.snapshots.read()
+    assert {r.id: (r.lat_e7, r.lon_e7) for r in s.nodes.collect()} == nodes
+    assert {r.id: r.nodes for r in s.ways.collect()} == ways
+    assert [(r.id, [tuple(m) for m in r.members], [tuple(x) for x in r.tags]) for r in s.relations.collect()] == [(12, [("way", 9, "outer")], [("k", "v")])]
+
+
 def test_check_names_the_path(spark):
     """A shortest path down to the element that lacks something."""
     rel = lambda i, *members: (i, [(k, ref, "") for k, ref in members])

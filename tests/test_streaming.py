@@ -85,6 +85,7 @@ def test_a_sequence_writes_its_own_rows_only(spark, tmp_path):
     snapshots = replicate.Snapshots(spark, str(tmp_path), deltas_most=3)
     snapshots.init(tool.Store(nodes, ways, relations))
     before = files_of(snapshots.path(0))
+    assert snapshots.written == {"nodes": n, "ways": 100, "relations": 0}
     model = {i: i * 10 for i in range(n)}
     for sequence in range(1, 6):
         body = f'<modify><node id="{sequence}" lat="0" lon="{sequence}"/><node id="7" lat="0" lon="{sequence}"/></modify><delete><node id="{100 + sequence}" lat="0" lon="0"/></delete><create><node id="{n + sequence}" lat="0" lon="0"/></create>'
@@ -96,6 +97,7 @@ def test_a_sequence_writes_its_own_rows_only(spark, tmp_path):
         del model[100 + sequence]
         assert spark.read.parquet(f"{snapshots.delta_path(sequence)}/nodes").count() == 4
         assert spark.read.parquet(f"{snapshots.delta_path(sequence)}/ways").count() == 0
+        assert snapshots.written["nodes"] - n == 4 * sequence + n * (sequence >= 4)
         assert {r.id: r.lat_e7 for r in snapshots.read().nodes.collect()} == model
         assert snapshots.read().ways.count() == 100
     assert files_of(snapshots.path(0)) == before
