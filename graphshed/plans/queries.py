@@ -376,7 +376,8 @@ def bbox_to_ring(t):
 
 @query
 def codec_bytes5(t):
-    shown = t["orders"].select(F.col("o_orderkey").cast("bigint").alias("id"), (F.col("o_orderkey") * 73000001).cast("bigint").alias("value")).withColumn("hex", codecs.to_bytes(F.col("value"), 5))
+    """Numbers as five bytes, those that don't fit with more digits."""
+    shown = t["orders"].select(F.col("o_orderkey").cast("bigint").alias("id"), (F.col("o_orderkey") * 73000001).cast("bigint").alias("value")).withColumn("hex", codecs.to_hex(F.col("value"), 10))
     return shown.select("id", "hex", codecs.from_bytes(F.col("hex")).alias("back"))
 
 
