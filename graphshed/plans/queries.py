@@ -389,7 +389,7 @@ def codec_coord4(t):
 
 @query
 def relation_path(t):
-    return t["orders"].select(F.col("o_orderkey").cast("bigint").alias("id"), codecs.digit_path(F.col("o_orderkey") * 7919).alias("path"))
+    return t["orders"].select(F.col("o_orderkey").cast("bigint").alias("id"), codecs.nine_digit_path(F.col("o_orderkey") * 7919).alias("path"))
 
 
 @query

@@ -10,3 +10,12 @@ def test_numbers_beyond_five_bytes(spark, tmp_path):
     found = {r.id: (r.hex, r.back) for r in entry.queries()["codec_bytes5"](spark, str(tmp_path)).collect()}
     wanted = {k: (f"{k * 73000001 & (1 << 64) - 1:010X}", k * 73000001) for k in keys if k is not None}
     assert found == wanted | {None: (None, None)}
+
+
+def test_paths_of_long_numbers(spark, tmp_path):
+    """A path has the first nine digits, however long the number is."""
+    keys = [0, 1, 126_278, 126_279, 9_000_000, 10**10, None]
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    found = {r.id: r.path for r in entry.queries()["relation_path"](spark, str(tmp_path)).collect()}
+    digits = {k: f"{k * 7919:09d}" for k in keys if k is not None}
+    assert found == {k: f"{d[:3]}/{d[3:6]}/{d[6:9]}" for k, d in digits.items()} | {None: None}
