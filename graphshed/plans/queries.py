@@ -38,6 +38,9 @@ def sides(box="bbox") -> list:
 
 # Sources and sinks
 
+#: Ids of a snapshot document, and the nodes or members from which an element has one of its own.
+DOCUMENT_IDS, LONG = 1000, 100
+
 
 def _snapshot_xml(t: T.Tables) -> DataFrame:
     """(bucket, xml): the store as snapshot documents, written by our own renderer."""
@@ -57,7 +60,10 @@ def _snapshot_xml(t: T.Tables) -> DataFrame:
         )
 
     every = rows("node", s.nodes).unionAll(rows("way", s.ways)).unionAll(rows("relation", s.relations))
-    return xml.render_documents(every.withColumn("bucket", F.col("id") % 16), ["bucket"], change=False)
+    # A document is held whole, so it has a range of ids, and what is long is a document of its own: more rows make more documents.
+    places = F.greatest(F.size("nodes"), F.size("members"))
+    bucket = F.when(places > LONG, F.concat_ws(" ", "elem_type", "id")).otherwise(F.floor(F.col("id") / DOCUMENT_IDS).cast("string"))
+    return xml.render_documents(every.withColumn("bucket", bucket), ["bucket"], change=False)
 
 
 def _scanned(t: T.Tables, kind: str) -> DataFrame:

@@ -9,6 +9,7 @@ the unit of work: one task parses one file as a stream.
 from __future__ import annotations
 
 import gzip
+import io
 import xml.parsers.expat
 from collections.abc import Iterator
 from xml.sax.saxutils import quoteattr
@@ -22,6 +23,8 @@ from graphshed.model import ELEMENT
 
 #: Small, as an element's context is copied from the chunk.
 CHUNK = 1 << 16
+#: Parsed rows that are handed over together, at least.
+ROWS = 1000
 _INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 
 
@@ -55,7 +58,9 @@ class Parser:
 
     def _start(self, name: str, a: dict[str, str]) -> None:
         self.fresh = False
-        if name in ("create", "modify", "delete"):
+        if name == "nd":  # the most frequent one
+            self.open["nodes"].append(int(a.get("ref", 0)))
+        elif name in ("create", "modify", "delete"):
             self.action = name
         elif name in ("node", "way", "relation"):
             number = lambda k: int(a[k]) or None if a.get(k) else None
@@ -66,8 +71,6 @@ class Parser:
                 "version": number("version"), "timestamp": a.get("timestamp"), "uid": number("uid"), "user": a.get("user"), "changeset": number("changeset"), "bbox": None,
             }
             self.fresh = True
-        elif name == "nd":
-            self.open["nodes"].append(int(a.get("ref", 0)))
         elif name == "member":
             self.open["members"].append({"type": a.get("type", ""), "ref": int(a.get("ref", 0)), "role": a.get("role", "")})
         elif name == "tag":
@@ -97,6 +100,18 @@ def elements(stream) -> Iterator[list[tuple]]:
         yield rows
 
 
+def gathered(batches: Iterator[list[tuple]]) -> Iterator[list[tuple]]:
+    """The same rows in batches of at least ROWS, but for the last."""
+    held: list[tuple] = []
+    for rows in batches:
+        held += rows
+        if len(held) >= ROWS:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
 def open_file(path: str):
     """A local or mounted file, unpacked if its name ends in .gz."""
     path = path.removeprefix("file://")
@@ -172,9 +187,8 @@ def parse(texts: DataFrame, text_col: str = "xml") -> DataFrame:
         kind = to_arrow_schema(schema)
         for batch in batches:
             rest = [batch.column(batch.schema.get_field_index(c)) for c in others]
-            for i, text in enumerate(batch.column(batch.schema.get_field_index(text_col)).to_pylist()):
-                rows = Parser().feed(text.encode(), True) if text else []
-                if rows:
+            for i, text in enumerate(batch.column(batch.schema.get_field_index(text_col))):
+                for rows in gathered(elements(io.BytesIO(text.as_py().encode()))) if text.as_py() else ():
                     own = [pa.repeat(c[i], len(rows)) for c in rest]
                     yield pa.RecordBatch.from_arrays([*own, *(pa.array(c, kind.field(n).type) for n, c in zip(names, zip(*rows)))], schema=kind)
 
@@ -237,14 +251,11 @@ def document(rows: Iterator[dict], change: bool) -> Iterator[str]:
 
 def render_documents(elements_df: DataFrame, by: list[str], change: bool = True) -> DataFrame:
     """(by..., xml): the rows of each key as one document, in order of pos. A key's rows make one file, so they go to one task."""
-    import pandas as pd
-
-    fields = [*by, "xml"]
     schema = ", ".join(f"`{c}` {elements_df.schema[c].dataType.simpleString()}" for c in by) + ", xml string"
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        rows = table.sort_by("pos").to_pylist()
-        out = {c: [v.as_py()] for c, v in zip(by, key)} | {"xml": ["\n".join(document(rows, change)) + "\n"]}
-        return pa.Table.from_pandas(pd.DataFrame(out)[fields], preserve_index=False)
+        table = table.sort_by("pos")
+        rows = (r for at in range(0, table.num_rows, ROWS) for r in table.slice(at, ROWS).to_pylist())
+        return pa.table({c: pa.array([v.as_py()], v.type) for c, v in zip(by, key)} | {"xml": pa.array(["\n".join(document(rows, change)) + "\n"])})
 
     return elements_df.groupBy(*by).applyInArrow(run, schema)
