@@ -513,8 +513,11 @@ def _numbered(t: T.Tables) -> tuple[str, replicate.Snapshots]:
     rows = cut(T.changes(t).withColumns({**no_meta(), "tags": F.lit(None).cast(TAGS)}))
     half = t["events"].count() // 2
     ends = [half, T.WAY_POS, T.LATE_POS, 1 << 62]
-    for n, (low, high) in enumerate(zip([-1, *ends], ends), 1):
-        files.write_xml(rows.where((F.col("pos") >= low) & (F.col("pos") < high)), f"{top}/diffs/{replication.path_of(n)}.osc.gz")
+    numbers = range(1, len(ends) + 1)
+    # All files at once: the change file is gone through once, not for each.
+    name = F.coalesce(*(F.when(F.col("pos") < end, F.lit(str(n))) for n, end in zip(numbers, ends)))
+    files.write_xml_files(rows.withColumn("_file", name), {str(n): f"{top}/diffs/{replication.path_of(n)}.osc.gz" for n in numbers}, "_file")
+    for n in numbers:
         files.publish_state(f"{top}/diffs", n, f"{replication.path_of(n)}.state.txt")
     snapshots = replicate.Snapshots(t.spark, os.path.join(top, "store"))
     os.makedirs(snapshots.folder)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from graphshed.model import ELEMENT
-from graphshed.sources.xml import ElementReader, _File
+from graphshed.sources.xml import ElementReader, _File, pieces
 
 # How often an address is tried, and the seconds between.
 TRIES, PAUSE = 5, 1.0
@@ -122,8 +122,8 @@ def listing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 class _Numbered(InputPartition):
-    def __init__(self, sequence: int, path: str):
-        self.sequence, self.path = sequence, path
+    def __init__(self, sequence: int, piece: _File):
+        self.sequence, self.piece = sequence, piece
 
 
 class ChangeStreamReader(DataSourceStreamReader):
@@ -147,14 +147,14 @@ class ChangeStreamReader(DataSourceStreamReader):
             path = next((p for p in (f"{base}.osc.gz", f"{base}.osc") if os.path.exists(p)), None)
             if path is None:
                 raise FileNotFoundError(f"{base}.osc.gz")
-            found.append(_Numbered(n, path))
+            found += [_Numbered(n, piece) for piece in pieces(path)]
         return found
 
     def read(self, partition: _Numbered):
         import pyarrow as pa
 
         inner = type(self.schema)([f for f in self.schema.fields if f.name != "sequence"])
-        for batch in ElementReader(inner, []).read(_File(partition.path)):
+        for batch in ElementReader(inner, []).read(partition.piece):
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.repeat(pa.scalar(partition.sequence, pa.int64()), batch.num_rows)], [*batch.schema.names, "sequence"])
 
     def commit(self, end: dict) -> None:

@@ -2,14 +2,17 @@
 
 ``read`` gives the elements of a file in document order, with the action of
 the block around each. Entities are unescaped; unknown attributes, comments
-and ``bounds`` are ignored, any other unknown element is an error. Files are
-the unit of work: one task parses one file as a stream.
+and ``bounds`` are ignored, any other unknown element is an error. One task
+parses one file as a stream; of packed files that ``sinks.files`` wrote, whose
+members say where they begin, several tasks parse a run of members each.
 """
 
 from __future__ import annotations
 
 import gzip
 import io
+import os
+import struct
 import xml.parsers.expat
 from collections.abc import Iterator
 from xml.sax.saxutils import quoteattr
@@ -25,6 +28,10 @@ from graphshed.model import ELEMENT
 CHUNK = 1 << 16
 #: Parsed rows that are handed over together, at least.
 ROWS = 1000
+#: Fixed value: the name of a gzip member's extra field, which has the member's bytes, the elements before it and whether it is of a change file, then the block that is open where it begins.
+MARK, EXTRA = b"GS", struct.Struct("<QQB")
+#: Bytes of members that one task reads, about.
+PIECE_BYTES = 2 << 20
 _INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 
 
@@ -90,13 +97,15 @@ class Parser:
             self.pos += 1
 
 
-def elements(stream) -> Iterator[list[tuple]]:
-    """Batches of rows of an open file."""
+def elements(stream, pos: int = 0, before: str = "", after: str = "") -> Iterator[list[tuple]]:
+    """Batches of rows of an open file, or of a part of one: elements before it, and what opens and closes it."""
     parser = Parser()
+    parser.pos = pos
+    parser.feed(before.encode())
     while data := stream.read(CHUNK):
         if rows := parser.feed(data):
             yield rows
-    if rows := parser.feed(b"", True):
+    if rows := parser.feed(after.encode(), True):
         yield rows
 
 
@@ -119,8 +128,72 @@ def open_file(path: str):
 
 
 class _File(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
+    """A file, or a run of its members."""
+
+    def __init__(self, path: str, at: int = 0, size: int | None = None, pos: int = 0, before: str = "", after: str = ""):
+        self.path, self.at, self.size, self.pos, self.before, self.after = path, at, size, pos, before, after
+
+    def elements(self) -> Iterator[list[tuple]]:
+        if self.size is None:
+            with open_file(self.path) as f:
+                yield from elements(f)
+            return
+        with open(self.path.removeprefix("file://"), "rb") as f:
+            f.seek(self.at)
+            data = f.read(self.size)
+        yield from elements(gzip.GzipFile(fileobj=io.BytesIO(data)), self.pos, self.before, self.after)
+
+
+def member_head(size: int, pos: int, change: bool, block: str | None) -> bytes:
+    """The header of a gzip member of so many bytes after it."""
+    own = (block or "").encode()
+    n = EXTRA.size + len(own)
+    extra = MARK + struct.pack("<H", n) + EXTRA.pack(12 + 4 + n + size, pos, change) + own
+    return b"\x1f\x8b\x08\x04\0\0\0\0\0\xff" + struct.pack("<H", len(extra)) + extra
+
+
+def members(path: str) -> list[tuple[int, int, bool, str]]:
+    """(offset, elements before, of a change file, open block) of a file's members; none if not all say so."""
+    found, at = [], 0
+    if not path.endswith(".gz") or not os.path.exists(path):
+        return []
+    end = os.path.getsize(path)
+    with open(path, "rb") as f:
+        while at < end:
+            f.seek(at)
+            head = f.read(256)
+            if head[:4] != b"\x1f\x8b\x08\x04" or head[12:14] != MARK or len(head) < 16 + EXTRA.size:
+                return []
+            size, pos, change = EXTRA.unpack_from(head, 16)
+            found.append((at, pos, bool(change), head[16 + EXTRA.size : 16 + int.from_bytes(head[14:16], "little")].decode()))
+            at += max(size, 16)
+    return found if at == end else []
+
+
+def root(change: bool) -> str:
+    return "osmChange" if change else "osm"
+
+
+def pieces(path: str, size: int | None = None) -> list[_File]:
+    """What tasks read of a file: runs of members of about that size, or the whole."""
+    plain, least = path.removeprefix("file://"), PIECE_BYTES if size is None else size
+    every = members(plain)
+    begins = []
+    for i, (at, *_) in enumerate(every):
+        if not begins or at - every[begins[-1]][0] >= least:
+            begins.append(i)
+    if len(begins) < 2:
+        return [_File(path)]
+    out = []
+    for a, b in zip(begins, [*begins[1:], None]):
+        at, pos, change, block = every[a]
+        before = f"<{root(change)}>" + (f"<{block}>" if block else "") if a else ""
+        end, after = os.path.getsize(plain), ""
+        if b is not None:
+            end, _, _, block = every[b]
+            after = (f"</{block}>" if block else "") + f"</{root(change)}>"
+        out.append(_File(path, at, end - at, pos, before, after))
+    return out
 
 
 class ElementReader(DataSourceReader):
@@ -128,17 +201,16 @@ class ElementReader(DataSourceReader):
         self.schema, self.paths = schema, paths
 
     def partitions(self):
-        return [_File(p) for p in self.paths]
+        return [piece for p in self.paths for piece in pieces(p)]
 
     def read(self, partition: _File):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         kind = to_arrow_schema(self.schema)
         names = [f.strip().split(" ")[0] for f in _fields(ELEMENT)]
-        with open_file(partition.path) as f:
-            for rows in elements(f):
-                columns = dict(zip(names, zip(*rows)), file=[partition.path] * len(rows))
-                yield pa.RecordBatch.from_arrays([pa.array(columns[x.name], x.type) for x in kind], schema=kind)
+        for rows in gathered(partition.elements()):
+            columns = dict(zip(names, zip(*rows)), file=[partition.path] * len(rows))
+            yield pa.RecordBatch.from_arrays([pa.array(columns[x.name], x.type) for x in kind], schema=kind)
 
 
 def _fields(ddl: str) -> list[str]:
@@ -195,7 +267,34 @@ def parse(texts: DataFrame, text_col: str = "xml") -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
+def _plain(column: pa.Array) -> list:
+    """A column's values as Python objects; numbers and lists of numbers without a scalar for each."""
+    kind, n = column.type, len(column)
+    if column.null_count == n:
+        return [None] * n
+    if pa.types.is_integer(kind) and not column.null_count or pa.types.is_string(kind):
+        return column.to_numpy(zero_copy_only=False).tolist()
+    if pa.types.is_list(kind) and pa.types.is_integer(kind.value_type):
+        at = column.offsets.to_numpy().tolist()
+        values = column.values.slice(at[0], at[-1] - at[0])
+        if not values.null_count:
+            values = values.to_numpy().tolist()
+            lists = [values[a - at[0] : b - at[0]] for a, b in zip(at, at[1:])]
+            return lists if not column.null_count else [x if there else None for x, there in zip(lists, column.is_valid().to_pylist())]
+    return column.to_pylist()
+
+
+def dicts(batch: pa.RecordBatch) -> Iterator[dict]:
+    """A batch's rows, unpacked a few at a time."""
+    names = batch.schema.names
+    for at in range(0, batch.num_rows, ROWS):
+        for row in zip(*map(_plain, batch.slice(at, ROWS).columns)):
+            yield dict(zip(names, row))
+
+
 def _quoted(name: str, value) -> str:
+    if isinstance(value, int) or isinstance(value, str) and value.isalnum():
+        return f' {name}="{value}"'
     return f" {name}={quoteattr(str(value), {chr(10): '&#10;', chr(13): '&#13;', chr(9): '&#9;'})}"
 
 
@@ -227,15 +326,18 @@ def render_rows(elements_df: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(map(render, batch.to_pylist()), pa.string())], [*batch.schema.names, "xml"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(map(render, dicts(batch)), pa.string())], [*batch.schema.names, "xml"])
 
     return elements_df.mapInArrow(run, StructType([*elements_df.schema.fields, StructField("xml", StringType())]))
 
 
+def head(change: bool) -> str:
+    return f'<?xml version="1.0" encoding="UTF-8"?>\n<{root(change)} version="0.6">'
+
+
 def document(rows: Iterator[dict], change: bool) -> Iterator[str]:
     """Lines of a document. A block is opened where the action differs from the last one; a null action opens none."""
-    root = "osmChange" if change else "osm"
-    yield f'<?xml version="1.0" encoding="UTF-8"?>\n<{root} version="0.6">'
+    yield head(change)
     block = None
     for e in rows:
         if change and e["action"] is not None and e["action"] != block:
@@ -246,7 +348,7 @@ def document(rows: Iterator[dict], change: bool) -> Iterator[str]:
         yield render(e)
     if block:
         yield f"</{block}>"
-    yield f"</{root}>"
+    yield f"</{root(change)}>"
 
 
 def render_documents(elements_df: DataFrame, by: list[str], change: bool = True) -> DataFrame:
@@ -254,8 +356,7 @@ def render_documents(elements_df: DataFrame, by: list[str], change: bool = True)
     schema = ", ".join(f"`{c}` {elements_df.schema[c].dataType.simpleString()}" for c in by) + ", xml string"
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        table = table.sort_by("pos")
-        rows = (r for at in range(0, table.num_rows, ROWS) for r in table.slice(at, ROWS).to_pylist())
+        rows = (r for batch in table.sort_by("pos").to_batches() for r in dicts(batch))
         return pa.table({c: pa.array([v.as_py()], v.type) for c, v in zip(by, key)} | {"xml": pa.array(["\n".join(document(rows, change)) + "\n"])})
 
     return elements_df.groupBy(*by).applyInArrow(run, schema)

@@ -83,7 +83,7 @@ class Tool:
 
 
 def annotate_file(spark: SparkSession, source: str, dest: str, store: Store) -> None:
-    files.write_xml(bbox.annotate(elements(spark, source, change=True).drop("file"), store), dest)
+    files.write_xml(cut(bbox.annotate(elements(spark, source, change=True).drop("file"), store)), dest)
 
 
 def filter_file(spark: SparkSession, source: str, dest: str, store: Store, polygon: str) -> None:
@@ -91,7 +91,7 @@ def filter_file(spark: SparkSession, source: str, dest: str, store: Store, polyg
     rings = cut(poly.rings(spark.read.text(polygon, wholetext=True).select(F.lit("poly").alias("poly"), F.col("value").alias("text"))))
     rows = elements(spark, source, change=True).drop("file")
     boxed = bbox.annotate(rows, store)
-    files.write_xml(polyfilter.filter_changes(cut(boxed), store, rings).drop("poly"), dest)
+    files.write_xml(cut(polyfilter.filter_changes(cut(boxed), store, rings).drop("poly")), dest)
 
 
 def split_of(spark: SparkSession, polygons: str, dest: str) -> replicate.Split:
