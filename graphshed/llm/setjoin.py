@@ -2,7 +2,11 @@
 
 A document's set are its distinct runs of ``words`` words, as 64-bit hashes.
 Documents of equal sets are one class. Classes are indexed by the prefixes of
-their sets: two sets that link share a token there. An index list is ordered
+their sets: two sets that link share a token there. Lists of the same classes
+become one, in which a class has its first position of all of them: the first
+token that two linked sets share is in one of these lists, so nothing is lost,
+and a class's sketch travels once for each of its neighbourhoods and not for
+each token. An index list is ordered
 by set size and the token's position, and entries equal in both are a block:
 blocks whose sizes or positions rule a link out are skipped whole. Of what is
 left a parity sketch (its distance never exceeds the sets' difference, so
@@ -49,6 +53,8 @@ COUNTERS, REPORTED = 1 << 22, 64
 HOT_COUNT, SALTS = 100_000, 64
 #: Bits of a parity sketch: a power of two, at least CELLS for each token that linked sets may differ in, within limits.
 CELLS, SKETCH_LEAST, SKETCH_MOST = 8, 256, 8192
+#: Lists of up to so many entries, at least, become one with lists of the same classes.
+NAMED_MOST = 20_000
 #: Lists longer than this are dealt to several tasks, in pairs of parts.
 LIST_MOST = 3000
 #: Lists up to this length are compared as a square.
@@ -217,14 +223,23 @@ def postings(indexed: DataFrame, hot: np.ndarray) -> DataFrame:
     return indexed.where("prefix is not null").select("n", "class", "prefix").mapInArrow(run, POSTINGS + ", salt int")
 
 
+def named(token: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """For each entry of whole lists, sorted by token, a name of its list that depends on the list's classes only. If two lists get one name by chance, they are gone through as one."""
+    begin = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+    sums = np.add.reduceat(mix(number.view(np.uint64)), begin)
+    return np.repeat(mix(sums).view(np.int64), np.diff(np.append(begin, len(token))))
+
+
 def shared(entries: DataFrame, measure: Measure) -> DataFrame:
-    """The distinct entries with another class of a fitting size in their list, and all distinct ones of hot tokens.
+    """The distinct entries with another class of a fitting size in their list, and all distinct ones of hot tokens; lists of the same classes are one, with the first positions.
 
     Entries come sorted by token, size and class; only neighbours are compared,
-    so a list of any length passes through. A hot token's are in SALTS tasks.
+    so a list of any length passes through, those beyond NAMED_MOST and those
+    of hot tokens, which are in SALTS tasks, under their token.
     """
+    most = NAMED_MOST
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         rest = None  # the last distinct entry, not yet given out, and whether it fits the one before
         for batch in batches:
             token, n, number, pos, salt = (batch.column(i).to_numpy() for i in range(5))
@@ -241,11 +256,32 @@ def shared(entries: DataFrame, measure: Measure) -> DataFrame:
             keep = before[:-1] | fits | (salt[:-1] > 0)
             rest = ((token[-1], n[-1], number[-1], pos[-1], salt[-1]), bool(before[-1]))
             if keep.any():
-                yield pa.RecordBatch.from_arrays([pa.array(x[:-1][keep]) for x in (token, n, number, pos)], _POSTING_NAMES)
+                yield tuple(x[:-1][keep] for x in (token, n, number, pos, salt))
         if rest is not None and (rest[1] or rest[0][4] > 0):
-            yield pa.RecordBatch.from_arrays([pa.array(np.array([x])) for x in rest[0][:4]], _POSTING_NAMES)
+            yield tuple(np.array([x]) for x in rest[0])
 
-    return entries.repartition("token", "salt").sortWithinPartitions("token", "n", "class").mapInArrow(run, POSTINGS)
+    def out(own, token, n, number, pos, salt) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (np.where(own, token, named(token, number)), n, number, pos)], _POSTING_NAMES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = long = None  # entries of the last token, whose list may go on, and the last token whose list was too long to be held
+        for part in kept(batches):
+            if held is not None:
+                part = tuple(map(np.concatenate, zip(held, part)))
+            token, n, number, pos, salt = part
+            last = int(np.searchsorted(token, token[-1]))
+            own = (salt > 0) | (token == long)
+            if own[-1] or len(token) - last > most:
+                own[last:], long, held, end = True, token[-1], None, len(token)
+            else:
+                held, end = tuple(x[last:] for x in part), last
+            if end:
+                yield out(own[:end], *(x[:end] for x in part))
+        if held is not None:
+            yield out(held[4] > 0, *held)
+
+    found = entries.repartition("token", "salt").sortWithinPartitions("token", "n", "class").mapInArrow(run, POSTINGS)
+    return found.groupBy("token", "class").agg(F.min("n").alias("n"), F.min("pos").alias("pos")).select(*_POSTING_NAMES)
 
 
 def banded(entries: DataFrame, measure: Measure) -> DataFrame:
@@ -548,7 +584,7 @@ def verified(pairs: DataFrame, texts: DataFrame, measure: Measure) -> DataFrame:
 
 
 def _connected(indexed: DataFrame, slim: DataFrame, measure: Measure, hot: np.ndarray, folder: str) -> DataFrame:
-    """(node, root) of all classes with a verified link."""
+    """(node, root) of all classes with a verified link. Leaves (id, n, class) of all rows in the folder, in place of the index."""
     spark = slim.sparkSession
     shared(postings(indexed, hot), measure).write.parquet(f"{folder}/entries")
     entries = spark.read.schema(POSTINGS).parquet(f"{folder}/entries")
@@ -557,6 +593,9 @@ def _connected(indexed: DataFrame, slim: DataFrame, measure: Measure, hot: np.nd
     known = classes.join(entries.select("class").distinct(), "class", "left_semi")
     known.write.parquet(f"{folder}/classes")
     known = spark.read.parquet(f"{folder}/classes")
+    # The prefixes, most of the index, have been read for the last time.
+    indexed.select("id", "n", "class").write.parquet(f"{folder}/rows")
+    remove(spark, f"{folder}/index")
     lists = parted(banded(entries, measure).join(known.select("class", "sketch"), "class"))
     tried = cut(candidates(lists, measure))
     ends = cut(tried.where("x = y").select(F.col("x").alias("class")).distinct())
@@ -602,7 +641,7 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "doc_
     index(slim, measure, levels).write.parquet(f"{folder}/index")
     indexed = spark.read.parquet(f"{folder}/index")
     roots = _connected(indexed, slim, measure, hot, folder)
-    rows = indexed.select("id", "n", "class").join(cut(roots.select(F.col("node").alias("class"), "root")), "class", "left").withColumn("root", F.coalesce("root", "class")).select("id", "n", "root")
+    rows = spark.read.schema(indexed.select("id", "n", "class").schema).parquet(f"{folder}/rows").join(cut(roots.select(F.col("node").alias("class"), "root")), "class", "left").withColumn("root", F.coalesce("root", "class")).select("id", "n", "root")
     least = cut(rows.where("root is not null").groupBy("root").agg(F.min("id").alias("least")))
     out = rows.join(least, "root", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"))
     out = cut(out)

@@ -122,6 +122,58 @@ def test_hot_list_in_parts(spark, monkeypatch):
     compare(spark, family(random.Random(5), 10, 120, 160, 0), 3, 90)
 
 
+def entries_of(spark, rows, measure):
+    """(entries of the index lists, entries with others in their token's list by definition)"""
+    slim = spark.createDataFrame(rows, "id long, text string")
+    levels, hot = setjoin.frequencies(slim, measure)
+    made = setjoin.postings(setjoin.index(slim, measure, levels), hot).collect()
+    frame = spark.createDataFrame(made, setjoin.POSTINGS + ", salt int")
+    lists = {}
+    for r in made:
+        lists.setdefault(r.token, {})[r["class"]] = (r.n, r.pos)
+    return setjoin.shared(frame, measure).collect(), {k: v for k, v in lists.items() if len(v) > 1}
+
+
+def test_lists_of_the_same_classes_are_one(spark):
+    """Two near copies share all their prefixes but little; their sketches go along once and not for each shared token."""
+    rows = []
+    for k in range(30):
+        text = [f"w{k}x{i}" for i in range(400)]
+        rows += [(3 * k + j, " ".join([*text, f"end{j}"])) for j in range(2 + k % 2)]
+    found, lists = entries_of(spark, rows, setjoin.Measure(5, 80))
+    assert sum(map(len, lists.values())) > 20 * len(rows)
+    assert len(found) <= 3 * len(rows)
+    first = {}
+    for entries in lists.values():
+        for number, (n, pos) in entries.items():
+            key = frozenset(entries), number
+            first[key] = n, min(pos, first.get(key, (n, pos))[1])
+    made = {}
+    for r in found:
+        made.setdefault(r.token, {})[r["class"]] = (r.n, r.pos)
+    assert {(frozenset(x), c): v for x in made.values() for c, v in x.items()} == first
+
+
+@pytest.mark.parametrize("most", [3, 20, 1000])
+def test_lists_too_long_to_be_held(spark, monkeypatch, most):
+    """They pass through under their token, over batches too; all others are one with those of the same classes."""
+    monkeypatch.setattr(setjoin, "NAMED_MOST", most)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = family(random.Random(9), 10, 120, 60, 0) + family(random.Random(10), 6, 80, 8, 100) + family(random.Random(11), 3, 150, 2, 200)
+        found, lists = entries_of(spark, rows, setjoin.Measure(3, 90))
+        pairs = lambda groups: {(a, b) for x in groups for a in x for b in x if a < b}
+        made = {}
+        for r in found:
+            made.setdefault(r.token, set()).add(r["class"])
+        assert max(map(len, lists.values())) > 30
+        assert pairs(made.values()) == pairs(lists.values())
+        compare(spark, rows, 3, 90)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+
+
 def test_empty(spark):
     assert setjoin.join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
